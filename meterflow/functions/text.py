@@ -10,16 +10,28 @@ def voltage_alert_text(device_id: Column, volts: Column) -> Column:
     return F.format_string("Severe voltage anomaly detected on node: %s (%.2fV)", device_id, volts)
 
 
+def seconds_text(gap: Column) -> Column:
+    """A gap of whole microseconds as the log prints it: shortest decimal, ``4.5e-05`` below a ten-thousandth."""
+    us = F.rint(F.abs(gap) * F.lit(1e6)).cast("long")
+    decimal = F.regexp_replace(F.format_string("%.6f", F.abs(gap)), r"(\.\d+?)0+$", "$1")
+    tenths = F.concat(F.floor(us / 10).cast("string"), F.lit("."), (us % 10).cast("string"))
+    small = (
+        F.when(us < 10, F.concat(us.cast("string"), F.lit("e-06")))
+        .otherwise(F.concat(F.regexp_replace(tenths, r"\.0$", ""), F.lit("e-05")))
+    )
+    return F.concat(F.when(gap < 0, "-").otherwise(""), F.when((us > 0) & (us < 100), small).otherwise(decimal))
+
+
 def packet_alert_text(reason: Column, src_ip: Column, src_port: Column, size: Column, gap: Column) -> Column:
     return F.format_string(
         "[NETWORK ALERT] %s | From %s:%s | Size: %dB | Delta: %ss",
-        reason, src_ip, src_port.cast("string"), size, gap.cast("string"),
+        reason, src_ip, src_port.cast("string"), size, seconds_text(gap),
     )
 
 
 def packet_flow_text(size: Column, flags: Column, gap: Column) -> Column:
     return F.format_string(
-        "[NetFlow Log] Ingested %dB packet | Flags: %s | Latency Delta: %ss", size, flags, gap.cast("string")
+        "[NetFlow Log] Ingested %dB packet | Flags: %s | Latency Delta: %ss", size, flags, seconds_text(gap)
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ SCHEMA = (
 
 def refresh_window(as_of: datetime, look_back: timedelta = LOOK_BACK, close_after: timedelta = CLOSE_AFTER):
     """[first, end) of the buckets that lie fully inside [as_of - look_back, as_of - close_after)."""
-    origin = datetime(2000, 1, 3, tzinfo=_utc(as_of).tzinfo)
+    origin = datetime(2000, 1, 3, tzinfo=timezone.utc)
     low, high = _utc(as_of) - look_back - origin, _utc(as_of) - close_after - origin
     return origin + -(-low // WIDTH) * WIDTH, origin + high // WIDTH * WIDTH
 
@@ -57,10 +57,10 @@ def view(spark: SparkSession, rollup: str) -> DataFrame:
 def realtime_view(spark: SparkSession, table: str, rollup: str) -> DataFrame:
     """Materialized buckets and, after the last of them, buckets computed from the table."""
     done = view(spark, rollup)
-    last = done.agg(F.max("bucket")).first()[0]
+    last = done.agg(F.unix_micros(F.max("bucket"))).first()[0]
     rows = telemetry(spark, table)
     if last is not None:
-        since = _utc(last + WIDTH)
+        since = datetime.fromtimestamp(last // 1_000_000, timezone.utc) + WIDTH
         day, hour = F.col("event_date"), F.col("event_hour")
         rows = rows.where((day > F.lit(since.date())) | ((day == F.lit(since.date())) & (hour >= since.hour)))
         rows = rows.where(F.col("timestamp") >= F.lit(since))
