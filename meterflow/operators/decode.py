@@ -57,9 +57,12 @@ def decode(records: DataFrame) -> DataFrame:
     well_formed = F.coalesce(F.is_valid_utf8(text) & F.trim(text).startswith("{") & single, F.lit(False))
 
     staged = records.withColumn("value", text).withColumnRenamed("timestamp", "record_time")
-    flat = staged.select("*", F.from_json("value", _RAW_SCHEMA, _JSON_OPTIONS).alias("_m")).select(
+    # Parsed through a generator: a filter on parsed fields would otherwise be pushed below the projection and take
+    # a copy of the parser for every field it names.
+    parsed = F.struct(F.from_json("value", _RAW_SCHEMA, _JSON_OPTIONS).alias("_m"), well_formed.alias("well_formed"))
+    flat = staged.select("*", F.inline(F.array(parsed))).select(
         *staged.columns,
-        well_formed.alias("well_formed"),
+        "well_formed",
         F.col("_m.timestamp").alias("epoch_sec"),
         F.col("_m.device_id").alias("device_id"),
         *[F.col(f"_m.metrics.{name}").alias(name) for name in METRICS],

@@ -89,15 +89,17 @@ def trailing(
     With cells as wide as the window, a window is a head of its own cell and a tail of the cell before. Every
     instant is therefore sent to two cells: to its own, and moved by one window into the next, where the tail is
     what lies at or after t. Nothing is subtracted from a running sum. ``center`` should be near the values: the
-    variance is taken from sums of squares around it, and is exactly 0 where all values are the same.
+    variance is taken from sums of squares around it, and is exactly 0 where all values are the same. NaN and null
+    do not count.
     """
-    d = value.cast("double") - F.lit(center)
+    v = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    d = v - F.lit(center)
     instants = base.groupBy(*keys, ts).agg(
-        F.count("*").alias("n"),
+        F.count(v).alias("n"),
         F.sum(d).alias("s"),
         F.sum(d * d).alias("q"),
-        F.min(value.cast("double")).alias("low"),
-        F.max(value.cast("double")).alias("high"),
+        F.min(v).alias("low"),
+        F.max(v).alias("high"),
     )
     stats = ["n", "s", "q", "low", "high"]
     at = F.unix_micros(F.col(ts))
@@ -177,7 +179,7 @@ def spikes(
         .select("device_id", "timestamp", F.col("n").alias("baseline_n"), F.col("mean").alias("baseline_mean"),
                 F.col("sd").alias("baseline_sd"))
     )
-    off = F.abs(F.col("voltage_v") - F.col("baseline_mean"))
+    off = F.abs(F.nanvl(F.col("voltage_v"), F.lit(None)) - F.col("baseline_mean"))
     return readings.join(baseline, ["device_id", "timestamp"]).where(off > F.lit(float(k)) * F.col("baseline_sd"))
 
 

@@ -72,6 +72,11 @@ def _decimal_round(expr: str, places: int) -> str:
     return f"cast(round(cast(cast({expr} AS varchar) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
 
 
+def _mean(expr: str) -> str:
+    """As in the catalog: means that lie halfway between two roundings go up."""
+    return f"round({expr} + 3.3e-9::DOUBLE, 6)"
+
+
 def _volts_text(expr: str) -> str:
     return f"cast(cast(round(cast(cast({expr} AS varchar) AS DECIMAL(38,18)), 2) AS DECIMAL(18,2)) AS varchar)"
 
@@ -160,10 +165,10 @@ ORACLES: dict[str, str] = {
     + _rollup("sto", where="timestamp >= TIMESTAMP '2023-12-31 23:20:00' AND timestamp < TIMESTAMP '2024-01-01 00:10:00'"),
     "rollup_realtime": _with(_TEL, _STORED) + _rollup("sto"),
     "shard_rollup": _with(_TEL) + f"""SELECT {_time(_BUCKET.format('timestamp'))} AS bucket, user_id // 100 AS shard,
-  count(*) AS readings, round(avg(voltage_v), 6) AS avg_voltage, round(sum(power_kw), 6) AS total_power_kw
+  count(*) AS readings, {_mean("avg(voltage_v)")} AS avg_voltage, round(sum(power_kw), 6) AS total_power_kw
 FROM tel GROUP BY 1, 2""",
     "block_avg_100ms": _with(_TEL) + f"""SELECT {_time("time_bucket(INTERVAL '100 milliseconds', timestamp)")} AS bucket,
-  device_id, count(*) AS readings, round(avg(voltage_v), 6) AS avg_voltage, round(avg(current_a), 6) AS avg_current
+  device_id, count(*) AS readings, {_mean("avg(voltage_v)")} AS avg_voltage, {_mean("avg(current_a)")} AS avg_current
 FROM tel GROUP BY 1, 2""",
     "throughput_5s": _with(_TEL, _MESSAGES) + f"""SELECT
   {_time("time_bucket(INTERVAL '5 seconds', record_time)")} AS bucket, partition,
@@ -237,12 +242,12 @@ SELECT event_id, round(h, 9) AS hour, round(f, 9) AS load_factor, round(ea, 9) A
 FROM y""",
     "surge_signature": _with(_TEL, _STORED) + """SELECT event_id, device_id, voltage_v::DOUBLE AS voltage_v, current_a::DOUBLE AS current_a
 FROM sto WHERE voltage_v BETWEEN 145 AND 155 AND current_a <= 0.5 AND event_id % 3 = 0""",
-    "rolling_avg_10s": _with(_TEL) + """SELECT event_id, device_id, count(*) OVER w AS readings,
-  round(avg(voltage_v) OVER w, 6) AS rolling_voltage FROM tel
+    "rolling_avg_10s": _with(_TEL) + f"""SELECT event_id, device_id, count(*) OVER w AS readings,
+  {_mean("avg(voltage_v) OVER w")} AS rolling_voltage FROM tel
 WINDOW w AS (PARTITION BY device_id ORDER BY timestamp RANGE BETWEEN INTERVAL 10 SECONDS PRECEDING AND CURRENT ROW)""",
     "spike_alerts": _with(_TEL) + f""", b AS (SELECT event_id, device_id, timestamp, voltage_v, count(*) OVER w AS n,
   avg(voltage_v) OVER w AS m, stddev_samp(voltage_v) OVER w AS sd FROM tel WINDOW w AS {_SPIKE_FRAME})
-SELECT event_id, device_id, {_time('timestamp')} AS timestamp, voltage_v, n AS baseline_n, round(m, 6) AS baseline_mean,
+SELECT event_id, device_id, {_time('timestamp')} AS timestamp, voltage_v, n AS baseline_n, {_mean("m")} AS baseline_mean,
   round(sd, 6) AS baseline_sd FROM b WHERE n >= 5 AND sd > 0 AND abs(voltage_v - m) > 3 * sd""",
     "latest_per_device": _with(_TEL) + f""", r AS (SELECT *, row_number() OVER (
     PARTITION BY device_id ORDER BY timestamp DESC, event_id DESC) AS rn FROM tel)
@@ -324,7 +329,7 @@ FROM lg WHERE kind IN (5, 6) GROUP BY 1""",
     "stream_sliding_mean": _with(_TEL) + f""", s AS (SELECT *, time_bucket(INTERVAL '1 second', timestamp)
     - to_seconds(unnest(range(10))) AS ws FROM tel)
 SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 10 SECONDS')} AS window_end, device_id, count(*) AS readings,
-  round(avg(voltage_v), 6) AS rolling_voltage, round(stddev_samp(voltage_v), 6) AS rolling_sd FROM s GROUP BY ws, device_id""",
+  {_mean("avg(voltage_v)")} AS rolling_voltage, round(stddev_samp(voltage_v), 6) AS rolling_sd FROM s GROUP BY ws, device_id""",
     "stream_alert_counts": _with(_TEL, _PACKETS, _V_ALERT, _SIZED) + f"""SELECT {_time(_BUCKET.format('alert_time'))} AS bucket,
   source, reason, count(*) AS alerts FROM sal GROUP BY 1, 2, 3""",
     "stream_coincident_alerts": _with(_TEL, _PACKETS, _V_ALERT, _SIZED) + f""", s AS (
@@ -339,9 +344,9 @@ ORACLES["stream_throughput"] = ORACLES["throughput_5s"]
 ORACLES["stream_enrich"] = ORACLES["device_enrich"]
 ORACLES["stream_alerts"] = _with(_TEL, _MESSAGES, _ACCEPTED) + f""", b AS (
   SELECT device_id, timestamp, voltage_v, count(voltage_v) OVER w AS n, avg(voltage_v::DOUBLE) OVER w AS m,
-    stddev_samp(voltage_v::DOUBLE) OVER w AS sd, count(*) OVER w AS all_n FROM acc WINDOW w AS {_SPIKE_FRAME})
+    stddev_samp(voltage_v::DOUBLE) OVER w AS sd FROM acc WINDOW w AS {_SPIKE_FRAME})
 SELECT {_time('timestamp')} AS alert_time, device_id AS subject, 'Voltage spike' AS reason
-FROM b WHERE all_n >= 5 AND n = all_n AND sd > 0 AND abs(voltage_v - m) > 3 * sd
+FROM b WHERE n >= 5 AND sd > 0 AND abs(voltage_v - m) > 3 * sd
 UNION ALL SELECT {_time('CASE WHEN c = 5 THEN record_time ELSE timestamp END')},
   CASE WHEN c = 7 THEN repeat('d', 51) ELSE device_id END, 'Severe voltage anomaly'
 FROM msg WHERE c = 5 OR (c IN (-1, 6, 7, 8) AND voltage_v > 135)"""
