@@ -17,8 +17,8 @@ from meterflow.functions.text import voltage_alert_text
 from meterflow.schemas import MESSAGE, METRICS
 
 MAX_DEVICE_ID = 50
-# Epoch seconds of years 1 and 9999, and the largest 4-byte float.
-EPOCH_RANGE = (-62135596800.0, 253402300799.999999)
+# Epoch seconds from year 1 to before year 10000, and the largest 4-byte float.
+EPOCH_RANGE = (-62135596800.0, 253402300800.0)
 MAX_REAL = 3.4028235677973366e38
 INT_RANGE = (-2147483648, 2147483647)
 
@@ -71,7 +71,7 @@ def decode(records: DataFrame) -> DataFrame:
     )
     value = F.col("value")
     epoch = F.col("epoch_sec")
-    in_range = F.coalesce(~F.isnan(epoch) & epoch.between(*EPOCH_RANGE), F.lit(False))
+    in_range = F.coalesce(~F.isnan(epoch) & (epoch >= EPOCH_RANGE[0]) & (epoch < EPOCH_RANGE[1]), F.lit(False))
     stored = ["device_id", *METRICS, "security_flag"]
     reason = (
         F.when(~F.col("well_formed"), "parse")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterflow.operators.decode import accepted, decode, keep_first, rejected, severe_voltage, voltage_alerts
+from meterflow.operators.decode import accepted, decode, rejected, severe_voltage, voltage_alerts
 from meterflow.operators.windows import spikes
 from meterflow.schemas import ALERT_COLUMNS
 from meterflow.sinks.table import write_batch, write_side_batch
@@ -57,7 +57,7 @@ def without_copies(records: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 def _write(paths: Paths, spike_options: dict | None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(keep_first(batch, RECORD_KEY, ["timestamp"])).persist()
+        decoded = decode(batch).persist()
         try:
             rows = accepted(decoded)
             write_batch(rows, paths.table, batch_id)
