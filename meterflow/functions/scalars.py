@@ -29,7 +29,8 @@ NUM_WORKERS = 100
 
 def device_name(meter_id: Column) -> Column:
     """``meter_00042``; wider numbers are kept whole."""
-    return F.format_string("meter_%05d", meter_id.cast("long"))
+    digits = meter_id.cast("long").cast("string")
+    return F.concat(F.lit("meter_"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
 
 
 def device_number(device_id: Column) -> Column:

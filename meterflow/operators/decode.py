@@ -5,6 +5,7 @@ All columns are built in one projection, so the same frame serves batch and stre
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,10 +27,19 @@ _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
 _RAW_SCHEMA = T.StructType([*MESSAGE.fields, T.StructField("_corrupt", T.StringType())])
 
 
+# One object with one object inside and no escapes: nothing can follow it unnoticed.
+_PLAIN_MESSAGE = r'^\s*\{[^{}\\]*"metrics"\s*:\s*\{[^{}\\]*\}[^{}\\]*\}\s*$'
+_STORED = ["device_id", *METRICS, "security_flag"]
+
+
 def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def _all(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def _has_key(text: Column, name: str) -> Column:
     return text.rlike(rf'"{name}"\s*:')
 
@@ -45,52 +55,76 @@ def _breaks_real(value: Column) -> Column:
     return finite & ((F.abs(value) >= MAX_REAL) | ((value != 0.0) & (value.cast("float") == 0.0)))
 
 
+def _epoch_in_range(epoch: Column) -> Column:
+    return ~F.isnan(epoch) & (epoch >= EPOCH_RANGE[0]) & (epoch < EPOCH_RANGE[1])
+
+
+def _is_single_object(text: Column, parsed: Column) -> Column:
+    """The JSON reader stops after the first object, so what follows it is looked for apart: by the shape of the
+    text, or where that does not settle it, by reading it as the one element of an array."""
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _JSON_OPTIONS)
+    single = F.when(parsed & text.rlike(_PLAIN_MESSAGE), True).otherwise(F.size(listed) == 1)
+    return F.coalesce(F.is_valid_utf8(text) & F.trim(text).startswith("{") & single, F.lit(False))
+
+
+def _looks_clean(row: Callable[[str], Column]) -> Column:
+    """Accepted at first sight: the few comparisons that nearly all records pass."""
+    small = [(F.abs(row(c)) < MAX_REAL) & ((F.abs(row(c)) > 1e-30) | (row(c) == 0.0)) for c in METRICS]
+    checks = [
+        row("well_formed"), ~row("mistyped"), _epoch_in_range(row("epoch_sec")), *small,
+        F.length(row("device_id")) <= MAX_DEVICE_ID, ~row("device_id").contains("\x00"),
+        row("security_flag").between(*INT_RANGE),
+    ]
+    return F.coalesce(_all(checks), F.lit(False))
+
+
+def _reason(row: Callable[[str], Column]) -> Column:
+    """Why a record is rejected, in the order in which its faults come to light; null when it is accepted."""
+    text, volts, epoch = row("value"), row("voltage_v"), row("epoch_sec")
+    return (
+        F.when(~row("well_formed"), "parse")
+        .when(volts.isNull() & ~_has_key(text, "voltage_v"), "missing_key")
+        .when(volts.isNull(), "type")
+        .when(epoch.isNull() & ~_has_key(text, "timestamp"), "missing_key")
+        .when(epoch.isNull(), "type")
+        .when(~_epoch_in_range(epoch), "timestamp")
+        .when(_any([row(c).isNull() & ~_has_key(text, c) for c in _STORED]), "missing_key")
+        .when(row("mistyped") | _quoted_number(text), "type")
+        .when(_any([row(c).isNull() for c in _STORED]), "constraint")
+        .when((F.length(row("device_id")) > MAX_DEVICE_ID) | row("device_id").contains("\x00"), "constraint")
+        .when(_any([_breaks_real(row(c)) for c in METRICS]), "constraint")
+        .when(~row("security_flag").between(*INT_RANGE), "constraint")
+    )
+
+
 def decode(records: DataFrame) -> DataFrame:
     """Parse ``value`` and give each record its fields and its ``reject_reason`` (null when it is accepted).
 
     Reasons, first match wins: ``parse``, ``missing_key``, ``type``, ``timestamp``, ``constraint``.
     """
-    # A binary or text value; invalid UTF-8 survives the cast and is caught below.
+    # A binary or text value; invalid UTF-8 survives the cast and is caught by ``well_formed``.
     text = F.col("value").cast("string")
-    # The JSON reader stops after the first object, so one object per text is checked apart.
-    single = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _JSON_OPTIONS)) == 1
-    well_formed = F.coalesce(F.is_valid_utf8(text) & F.trim(text).startswith("{") & single, F.lit(False))
-
     staged = records.withColumn("value", text).withColumnRenamed("timestamp", "record_time")
     # Parsed through a generator: a filter on parsed fields would otherwise be pushed below the projection and take
     # a copy of the parser for every field it names.
-    parsed = F.struct(F.from_json("value", _RAW_SCHEMA, _JSON_OPTIONS).alias("_m"), well_formed.alias("well_formed"))
-    flat = staged.select("*", F.inline(F.array(parsed))).select(
+    parsed = F.from_json("value", _RAW_SCHEMA, _JSON_OPTIONS).alias("_m")
+    flat = staged.select("*", F.inline(F.array(F.struct(parsed)))).select(
         *staged.columns,
-        "well_formed",
+        _is_single_object(F.col("value"), F.col("_m.metrics.voltage_v").isNotNull()).alias("well_formed"),
         F.col("_m.timestamp").alias("epoch_sec"),
         F.col("_m.device_id").alias("device_id"),
         *[F.col(f"_m.metrics.{name}").alias(name) for name in METRICS],
         F.col("_m.security_flag").alias("security_flag"),
-        F.col("_m._corrupt").isNotNull().alias("_mistyped"),
-    )
-    value = F.col("value")
-    epoch = F.col("epoch_sec")
-    in_range = F.coalesce(~F.isnan(epoch) & (epoch >= EPOCH_RANGE[0]) & (epoch < EPOCH_RANGE[1]), F.lit(False))
-    stored = ["device_id", *METRICS, "security_flag"]
-    reason = (
-        F.when(~F.col("well_formed"), "parse")
-        .when(F.col("voltage_v").isNull() & ~_has_key(value, "voltage_v"), "missing_key")
-        .when(F.col("voltage_v").isNull(), "type")
-        .when(epoch.isNull() & ~_has_key(value, "timestamp"), "missing_key")
-        .when(epoch.isNull(), "type")
-        .when(~in_range, "timestamp")
-        .when(_any([F.col(c).isNull() & ~_has_key(value, c) for c in stored]), "missing_key")
-        .when(F.col("_mistyped") | _quoted_number(value), "type")
-        .when(_any([F.col(c).isNull() for c in stored]), "constraint")
-        .when((F.length("device_id") > MAX_DEVICE_ID) | F.col("device_id").contains("\x00"), "constraint")
-        .when(_any([_breaks_real(F.col(c)) for c in METRICS]), "constraint")
-        .when(~F.col("security_flag").between(*INT_RANGE), "constraint")
+        F.col("_m._corrupt").isNotNull().alias("mistyped"),
     )
+    # The full list of checks runs inside a lambda, which Spark interprets: compiled into the main loop it would
+    # make a method too large for the JVM to optimise, and few records need it.
+    faults = ["value", "well_formed", "epoch_sec", *_STORED, "mistyped"]
+    judged = F.transform(F.array(F.struct(*faults)), lambda r: _reason(lambda c: r[c]))[0]
     return flat.select(
-        *[c for c in flat.columns if c not in ("_mistyped", "epoch_sec")],
-        F.when(in_range, epoch_to_timestamp(epoch)).alias("timestamp"),
-        reason.alias("reject_reason"),
+        *[c for c in flat.columns if c not in ("mistyped", "epoch_sec")],
+        F.when(_epoch_in_range(F.col("epoch_sec")), epoch_to_timestamp(F.col("epoch_sec"))).alias("timestamp"),
+        F.when(_looks_clean(F.col), F.lit(None)).otherwise(judged).alias("reject_reason"),
     )
 
 
@@ -111,11 +145,11 @@ def rejected(decoded: DataFrame) -> DataFrame:
     )
 
 
-def severe_voltage(decoded: DataFrame, limit: float = SEVERE_VOLTAGE) -> DataFrame:
-    """Decoded records that alert. The check comes before the timestamp and the constraints are looked at, so a
+def is_severe(limit: float = SEVERE_VOLTAGE) -> Column:
+    """Whether a decoded record alerts. The check comes before the timestamp and the constraints are looked at, so a
     record that is rejected later still alerts; one that cannot be parsed or names no device does not."""
     value = F.col("value")
-    return decoded.where(
+    return (
         F.col("well_formed")
         & is_severe_voltage(F.col("voltage_v"), limit)
         & ~value.rlike(r'"voltage_v"\s*:\s*"')
@@ -123,6 +157,11 @@ def severe_voltage(decoded: DataFrame, limit: float = SEVERE_VOLTAGE) -> DataFra
     )
 
 
+def severe_voltage(decoded: DataFrame, limit: float = SEVERE_VOLTAGE) -> DataFrame:
+    """Decoded records that alert."""
+    return decoded.where(is_severe(limit))
+
+
 def voltage_alerts(readings: DataFrame, time_col: str = "timestamp", limit: float = SEVERE_VOLTAGE) -> DataFrame:
     """Alert rows of flat readings with double voltages."""
     volts = F.col("voltage_v")

@@ -20,11 +20,13 @@ def severity(level: Column) -> Column:
 
 
 def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
-    """JSON lines to the fixed columns, ``event_time``, and a map ``extras`` of all other keys as text."""
+    """JSON lines to the fixed columns, ``event_time``, and a map ``extras`` of all other keys as text.
+
+    The generator keeps filters on parsed fields from being pushed below the parser and parsing again.
+    """
     extras = F.map_filter(F.from_json(line, "map<string,string>"), lambda k, _: ~k.isin(CORE_KEYS))
-    return lines.select(F.from_json(line, LOG_EVENT).alias("e"), extras.alias("extras")).select(
-        "e.*", "extras", F.try_to_timestamp(F.col("e.timestamp")).alias("event_time")
-    )
+    parsed = lines.select(line, F.inline(F.array(F.struct(F.from_json(line, LOG_EVENT).alias("e")))))
+    return parsed.select("e.*", extras.alias("extras"), F.try_to_timestamp(F.col("e.timestamp")).alias("event_time"))
 
 
 def format_log(events: DataFrame) -> DataFrame:

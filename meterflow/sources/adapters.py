@@ -20,6 +20,7 @@ SQUEEZE = 2592
 DEVICES = 10
 CORRUPT_EVERY = 97
 DUPLICATE_EVERY = 50
+BROKEN_KINDS = 10
 TOPIC = "telemetry"
 
 
@@ -93,20 +94,8 @@ def _set(json: Column, name: str, text: str) -> Column:
     return F.regexp_replace(json, rf'"{name}":[^,}}]+', f'"{name}":{text}')
 
 
-def messages_of(flat: DataFrame) -> DataFrame:
-    """Readings as topic records: every 97th broken in one of ten ways, every 50th delivered twice."""
-    event = F.col("event_id")
-    whole = to_messages(
-        flat.withColumn("_event", event),
-        F.col("user_id") % DEVICES,
-        F.lit(TOPIC).alias("topic"),
-        (F.col("_event") % 4).cast("int").alias("partition"),
-        F.floor(F.col("_event") / 4).cast("long").alias("offset"),
-        F.timestamp_micros(F.unix_micros("timestamp") + (F.col("_event") % 8) * 1_000_000).alias("timestamp"),
-        "_event",
-    )
-    value = F.col("value")
-    broken = [
+def _broken(value: Column, case: Column) -> Column:
+    variants = [
         F.lit("not json"),
         F.lit(None).cast("string"),
         F.concat(value, F.lit(" xyz")),
@@ -118,10 +107,28 @@ def messages_of(flat: DataFrame) -> DataFrame:
         _set(value, "security_flag", "true"),
         _set(value, "voltage_v", "NaN"),
     ]
-    case = F.floor(F.col("_event") / CORRUPT_EVERY) % len(broken)
     text = value
-    for number, variant in enumerate(broken):
-        text = F.when((F.col("_event") % CORRUPT_EVERY == 0) & (case == number), variant).otherwise(text)
+    for number, variant in enumerate(variants):
+        text = F.when(case == number, variant).otherwise(text)
+    return text
+
+
+def messages_of(flat: DataFrame) -> DataFrame:
+    """Readings as topic records: every 97th broken in one of ten ways, every 50th delivered twice."""
+    event = F.col("event_id")
+    whole = to_messages(
+        flat.withColumn("_event", event),
+        F.col("user_id") % DEVICES,
+        F.lit(TOPIC).alias("topic"),
+        (F.col("_event") % 4).cast("int").alias("partition"),
+        F.floor(F.col("_event") / 4).cast("long").alias("offset"),
+        F.timestamp_micros(F.unix_micros("timestamp") + (F.col("_event") % 8) * 1_000_000).alias("timestamp"),
+        "_event",
+    )
+    case = F.floor(F.col("_event") / CORRUPT_EVERY) % BROKEN_KINDS
+    # In a lambda, so that the rare cases stay out of the compiled loop.
+    broken = F.transform(F.array("value"), lambda value: _broken(value, case))[0]
+    text = F.when(F.col("_event") % CORRUPT_EVERY == 0, broken).otherwise(F.col("value"))
     copies = F.when(F.col("_event") % DUPLICATE_EVERY == 0, 2).otherwise(1)
     return whole.withColumn("value", text).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop(
         "_copy", "_event"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterflow.operators.decode import accepted, decode, rejected, severe_voltage, voltage_alerts
+from meterflow.operators.decode import accepted, decode, is_severe, rejected, voltage_alerts
 from meterflow.operators.windows import spikes
 from meterflow.schemas import ALERT_COLUMNS
 from meterflow.sinks.table import write_batch, write_side_batch
@@ -55,14 +55,22 @@ def without_copies(records: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return records.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(RECORD_KEY)
 
 
+def _verdicts(decoded: DataFrame) -> DataFrame:
+    """What the writes of a batch share; only rejected records need their text any longer."""
+    text = [F.when(F.col("reject_reason").isNotNull(), F.col(c)).alias(c) for c in ("key", "value")]
+    return decoded.select(
+        *text, *[c for c in decoded.columns if c not in ("key", "value", "well_formed")], is_severe().alias("is_severe")
+    )
+
+
 def _write(paths: Paths, spike_options: dict | None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(batch).persist()
+        decoded = _verdicts(decode(batch)).persist()
         try:
             rows = accepted(decoded)
             write_batch(rows, paths.table, batch_id)
             write_side_batch(rejected(decoded), paths.rejects, batch_id)
-            timed = severe_voltage(decoded).withColumn("alert_time", F.coalesce("timestamp", "record_time"))
+            timed = decoded.where("is_severe").withColumn("alert_time", F.coalesce("timestamp", "record_time"))
             alerts = voltage_alerts(timed, "alert_time")
             if spike_options is not None:
                 found = _new_spikes(rows, paths.table, batch_id, spike_options)
