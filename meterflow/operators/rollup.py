@@ -78,9 +78,9 @@ def energy_by_gap(readings: DataFrame, tie_break: str, width: str = WIDTH) -> Da
 
     Of readings at one instant only the last lasts, so instants suffice and no reading is joined back.
     """
-    keyed = readings.select("device_id", "timestamp", "power_kw", F.struct(tie_break).alias("_tie"))
+    keyed = readings.select("device_id", "timestamp", "power_kw", tie_break)
     spans = neighbours(
-        keyed, ["device_id"], "timestamp", [F.max_by("power_kw", "_tie").alias("power_kw")], following=True
+        keyed, ["device_id"], "timestamp", [F.max_by("power_kw", tie_break).alias("power_kw")], following=True
     )
     kwh = F.col("power_kw") * (F.unix_micros("neighbour") - F.unix_micros("timestamp")) / F.lit(3.6e9)
     return spans.groupBy(bucket_start(F.col("timestamp"), width).alias("bucket"), "device_id").agg(

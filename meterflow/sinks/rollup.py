@@ -54,14 +54,21 @@ def view(spark: SparkSession, rollup: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(rollup).drop("bucket_key")
 
 
-def realtime_view(spark: SparkSession, table: str, rollup: str) -> DataFrame:
-    """Materialized buckets and, after the last of them, buckets computed from the table."""
+def realtime_view(spark: SparkSession, table: str, rollup: str, refreshed_to: datetime | None = None) -> DataFrame:
+    """Materialized buckets and, after the last of them, buckets computed from the table.
+
+    ``refreshed_to`` is the end of the last refresh window; without it the rollup is asked for its last bucket.
+    """
     done = view(spark, rollup)
-    last = done.agg(F.unix_micros(F.max("bucket"))).first()[0]
-    rows = telemetry(spark, table)
-    if last is not None:
-        since = datetime.fromtimestamp(last // 1_000_000, timezone.utc) + WIDTH
-        day, hour = F.col("event_date"), F.col("event_hour")
-        rows = rows.where((day > F.lit(since.date())) | ((day == F.lit(since.date())) & (hour >= since.hour)))
-        rows = rows.where(F.col("timestamp") >= F.lit(since))
-    return done.unionByName(device_rollup(rows))
+    if refreshed_to is None:
+        last = done.agg(F.unix_micros(F.max("bucket"))).first()[0]
+        if last is None:
+            return done.unionByName(device_rollup(telemetry(spark, table)))
+        refreshed_to = datetime.fromtimestamp(last // 1_000_000, timezone.utc) + WIDTH
+    since = _utc(refreshed_to)
+    day, hour = F.col("event_date"), F.col("event_hour")
+    rows = telemetry(spark, table).where(
+        (day > F.lit(since.date())) | ((day == F.lit(since.date())) & (hour >= since.hour))
+    )
+    rows = rows.where(F.col("timestamp") >= F.lit(since))
+    return done.where(F.col("bucket") < F.lit(since)).unionByName(device_rollup(rows))

@@ -8,6 +8,7 @@ failure changes nothing. Compaction folds the batches of cold hours into one fol
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,13 +70,19 @@ class _Files:
             raise OSError(f"cannot move {source} to {target}")
 
 
-def _layout(folder: str) -> tuple[datetime, int]:
+def _hour(folder: str) -> datetime:
     named = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
-    hour = datetime.fromisoformat(named["event_date"]).replace(tzinfo=timezone.utc)
-    return hour + timedelta(hours=int(named["event_hour"])), int(named["batch"])
+    day = datetime.fromisoformat(named["event_date"]).replace(tzinfo=timezone.utc)
+    return day + timedelta(hours=int(named["event_hour"]))
 
 
-def _covers(batch: int) -> int:
+def _batch(folder: str) -> int:
+    return int(folder.rsplit("/batch=", 1)[1])
+
+
+def _covers(folder: str) -> int:
+    """The last batch that a folder holds."""
+    batch = _batch(folder)
     return batch if batch >= 0 else -batch - 1
 
 
@@ -92,10 +99,9 @@ def compact(spark: SparkSession, path: str, as_of: datetime, older_than: timedel
     limit = as_of.astimezone(timezone.utc) if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
     hours: dict[datetime, list[str]] = {}
     for folder in files.glob(f"{path}/event_date=*/event_hour=*/batch=*"):
-        start, _ = _layout(folder)
-        if start + timedelta(hours=1) <= limit - older_than:
-            hours.setdefault(start, []).append(folder)
-    hours = {h: found for h, found in hours.items() if len(found) > 1 or _layout(found[0])[1] >= 0}
+        if _hour(folder) + timedelta(hours=1) <= limit - older_than:
+            hours.setdefault(_hour(folder), []).append(folder)
+    hours = {h: found for h, found in hours.items() if len(found) > 1 or _batch(found[0]) >= 0}
     if not hours:
         return 0
 
@@ -109,18 +115,41 @@ def compact(spark: SparkSession, path: str, as_of: datetime, older_than: timedel
         .write.option("compression", "zstd").partitionBy("event_date", "event_hour").parquet(staging)
     )
     for start, found in hours.items():
-        upto = max(_covers(_layout(f)[1]) for f in found)
+        upto = max(_covers(f) for f in found)
         hour = f"event_date={start:%Y-%m-%d}/event_hour={start.hour}"
         files.move(f"{staging}/{hour}", f"{path}/{hour}/_swap-{upto}")
     _finish_swaps(files, path)
     return len(hours)
 
 
+def compact_side(
+    spark: SparkSession, path: str, upto: int, reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> int:
+    """Fold the batches up to ``upto`` of a side table into one folder. ``reduce`` may leave out what later readers
+    do not need, such as overwritten changes. Returns the number of folders folded."""
+    files = _Files(spark, path)
+    _finish_swaps(files, path)
+    folders = [f for f in files.glob(f"{path}/batch=*") if _covers(f) <= upto]
+    if len(folders) < 2:
+        return 0
+    last, staging = max(_covers(f) for f in folders), scratch_path(spark, "compaction")
+    rows = reduce(spark.read.option("basePath", path).parquet(*folders))
+    rows.drop("batch").hint("rebalance").write.option("compression", "zstd").parquet(staging)
+    files.move(staging, f"{path}/_swap-{last}")
+    _finish_swaps(files, path)
+    return len(folders)
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove one batch of a side table; nothing happens where it is gone."""
+    _Files(spark, path).delete(f"{path}/batch={batch_id}")
+
+
 def _finish_swaps(files: _Files, path: str) -> None:
     """Names that start with an underscore are hidden from readers until the old folders are gone."""
-    for swap in files.glob(f"{path}/event_date=*/event_hour=*/_swap-*"):
-        hour, upto = swap.rsplit("/_swap-", 1)
-        for folder in files.glob(f"{hour}/batch=*"):
-            if _covers(_layout(folder)[1]) <= int(upto):
+    for swap in files.glob(f"{path}/_swap-*") + files.glob(f"{path}/event_date=*/event_hour=*/_swap-*"):
+        parent, upto = swap.rsplit("/_swap-", 1)
+        for folder in files.glob(f"{parent}/batch=*"):
+            if _covers(folder) <= int(upto):
                 files.delete(folder)
-        files.move(swap, f"{hour}/batch={-int(upto) - 1}")
+        files.move(swap, f"{parent}/batch={-int(upto) - 1}")

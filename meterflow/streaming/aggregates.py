@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterflow.operators.rollup import alert_counts, device_rollup, throughput
 from meterflow.sinks.rollup import CLOSE_AFTER, WIDTH, write_buckets
-from meterflow.sinks.table import write_side_batch
+from meterflow.sinks.table import compact_side, write_side_batch
 from meterflow.sources.tables import _utc
 
 LATENESS = "1 hour"
@@ -34,14 +34,24 @@ def start_rollup(readings: DataFrame, changes: str, checkpoint: str, trigger: di
     )
 
 
-def latest_changes(spark: SparkSession, changes: str) -> DataFrame:
-    """The state of all buckets: per bucket and device the change of the last batch."""
-    log = spark.read.parquet(changes)
+def newest_changes(log: DataFrame) -> DataFrame:
+    """Per bucket and device the change of the last batch. Folded batches have negative numbers: any later batch
+    goes before them."""
     values = [c for c in log.columns if c not in ("bucket", "device_id", "batch")]
     newest = F.max_by(F.struct(*values), F.col("batch")).alias("_v")
     return log.groupBy("bucket", "device_id").agg(newest).select("bucket", "device_id", "_v.*")
 
 
+def latest_changes(spark: SparkSession, changes: str) -> DataFrame:
+    """The state of all buckets."""
+    return newest_changes(spark.read.parquet(changes))
+
+
+def compact_changes(spark: SparkSession, changes: str, upto: int) -> int:
+    """Keep only the newest change of each bucket and device among the batches up to ``upto``."""
+    return compact_side(spark, changes, upto, newest_changes)
+
+
 def closed(rollup: DataFrame, max_event_time: datetime, close_after: timedelta = CLOSE_AFTER) -> DataFrame:
     """Buckets that ended long enough before the latest event."""
     end = F.col("bucket") + F.expr(f"INTERVAL {int(WIDTH.total_seconds())} SECONDS")

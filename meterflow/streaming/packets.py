@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterflow.operators.network import TARGET_PORT, describe, relevant
 from meterflow.operators.windows import gap_to_previous
-from meterflow.sinks.table import write_side_batch
+from meterflow.sinks.table import drop_batch, write_side_batch
 
 
 def _analyze(flows: str, state: str, port: int) -> Callable[[DataFrame, int], None]:
@@ -35,6 +35,8 @@ def _analyze(flows: str, state: str, port: int) -> Callable[[DataFrame, int], No
             if known is not None:
                 gapped = _first_gaps(gapped, packets, known)
             write_side_batch(describe(gapped, "capture_id", "ts", "seq"), flows, batch_id)
+            # A replay of this batch needs the state before it, and no older one.
+            drop_batch(spark, state, batch_id - 2)
         finally:
             packets.unpersist()
 

@@ -102,3 +102,14 @@ def test_batches(spark):
     assert N.first_batch(data).count() == 100
     counts = {r.batch: r["count"] for r in N.batch_numbers(data).groupBy("batch").count().collect()}
     assert counts == {0: 100, 1: 100, 2: 50}
+
+
+def test_port_and_protocol_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "packets")
+    frame(spark, [packet(0, 1)]).write.parquet(path)
+    scan = N.relevant(spark.read.schema(PACKET).parquet(path)).select("seq")
+    plan = scan._sc._jvm.PythonSQLUtils.explainString(scan._jdf.queryExecution(), "formatted")
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "Or(EqualTo(src_port,19092),EqualTo(dst_port,19092))" in pushed and "EqualTo(has_tcp,true)" in pushed
+    read = next(line for line in plan.splitlines() if "ReadSchema" in line)
+    assert "ip4_src" not in read and "tcp_flags" not in read

@@ -140,6 +140,12 @@ def test_rollup_stream_equals_batch(spark, tmp_path):
     both = [sorted((str(r.bucket), r.device_id, round(r.avg_voltage, 6), r.max_voltage, round(r.total_power_kw, 4)) for r in f.collect())
             for f in (aggregates.latest_changes(spark, changes), batch)]
     assert both[0] == both[1] and spark.read.parquet(changes).select("batch").distinct().count() == 3
+    # Folding the first two batches of the log keeps the state, and what comes later still wins.
+    assert aggregates.compact_changes(spark, changes, 1) == 2
+    assert {r.batch for r in spark.read.parquet(changes).select("batch").distinct().collect()} == {-2, 2}
+    again = sorted((str(r.bucket), r.device_id, round(r.avg_voltage, 6), r.max_voltage, round(r.total_power_kw, 4))
+                   for r in aggregates.latest_changes(spark, changes).collect())
+    assert again == both[1]
 
 
 def test_packet_stream_keeps_the_clock_between_batches(spark, tmp_path):

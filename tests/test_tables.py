@@ -89,6 +89,19 @@ def test_compacted_files_are_sorted(spark, tmp_path):
         assert found == sorted(found)
 
 
+def test_side_tables_are_folded_whole(spark, tmp_path):
+    path = str(tmp_path / "side")
+    for batch in range(4):
+        S.write_side_batch(spark.range(batch * 10, batch * 10 + 10), path, batch)
+    assert S.compact_side(spark, path, 2) == 3 and S.compact_side(spark, path, 2) == 0
+    found = spark.read.parquet(path)
+    assert sorted(r.id for r in found.collect()) == list(range(40))
+    assert {r.batch for r in found.select("batch").distinct().collect()} == {-3, 3}
+    S.drop_batch(spark, path, 3)
+    S.drop_batch(spark, path, 3)
+    assert spark.read.parquet(path).count() == 30
+
+
 def test_interrupted_swap_is_finished(spark, tmp_path):
     path = str(tmp_path / "t")
     for batch in range(2):
@@ -157,6 +170,8 @@ def test_realtime_view_covers_everything_after_the_refresh(spark, tmp_path):
     full = rollup_rows(device_rollup(R.telemetry(spark, path)))
     assert rollup_rows(M.realtime_view(spark, path, view)) == full
     assert len(rollup_rows(M.view(spark, view))) < len(full)
+    end = M.refresh_window(DAY + timedelta(hours=1))[1]
+    assert rollup_rows(M.realtime_view(spark, path, view, end)) == full
 
 
 def test_realtime_view_before_any_refresh(spark, tmp_path):
