@@ -36,7 +36,7 @@ def device_name(meter_id: Column) -> Column:
 def device_number(device_id: Column) -> Column:
     """Inverse of :func:`device_name`; null when the name has another shape."""
     digits = F.regexp_extract(device_id, r"^meter_(\d+)$", 1)
-    return F.when(digits != "", digits.cast("long"))
+    return digits.try_cast("long")
 
 
 def device_shard(meter_id: Column, total: int = TOTAL_METERS, workers: int = NUM_WORKERS) -> Column:

@@ -95,9 +95,9 @@ def event_kind(message: Column) -> Column:
 
 
 def fact(message: Column, kind: Column, name: str) -> Column:
-    """The named fact of a message whose kind carries it, else null."""
+    """The named fact of a message whose kind carries it and whose text is of its type, else null."""
     value = F.lit(None).cast("string")
     for owner, (pattern, groups) in LOG_PATTERNS.items():
         if name in groups:
             value = F.when(kind == owner, F.regexp_extract(message, pattern, groups[name])).otherwise(value)
-    return value.cast(FACT_TYPES[name])
+    return value.try_cast(FACT_TYPES[name])

@@ -557,6 +557,13 @@ def stream_alert_counts(spark, sf_dir):
     return plain(_side_table(spark, counts, ["bucket", "source", "reason"]))
 
 
+@registered
+def stream_log_levels(spark, sf_dir):
+    lines = adapters.log_lines_of(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
+    counts = aggregates.streaming_level_counts(oplog.parse_log(lines))
+    return plain(_side_table(spark, counts, ["bucket", "level", "logger"]))
+
+
 @registered
 def stream_coincident_alerts(spark, sf_dir):
     found = aggregates.coincident_alerts(_alert_stream(spark, sf_dir))

@@ -341,6 +341,7 @@ SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 30 SECONDS')} AS win
 }
 
 ORACLES["stream_throughput"] = ORACLES["throughput_5s"]
+ORACLES["stream_log_levels"] = ORACLES["log_levels"]
 ORACLES["stream_enrich"] = ORACLES["device_enrich"]
 ORACLES["stream_alerts"] = _with(_TEL, _MESSAGES, _ACCEPTED) + f""", b AS (
   SELECT device_id, timestamp, voltage_v, count(voltage_v) OVER w AS n, avg(voltage_v::DOUBLE) OVER w AS m,

@@ -37,7 +37,8 @@ def readings_of(source: DataFrame) -> DataFrame:
     """Events as flat readings with wire types (8-byte numbers)."""
     value = F.col("value")
     volts = F.lit(110.0) + value / F.lit(10.0)
-    amps = F.get_json_object("props", "$.k").cast("double") / F.lit(10.0)
+    # The one number of a flat object: a pattern finds it several times faster than the JSON functions.
+    amps = F.regexp_extract("props", r'"k"\s*:\s*(-?[\d.]+)', 1).try_cast("double") / F.lit(10.0)
     factor = F.lit(0.88) + (F.col("event_id") % 8) / F.lit(100.0)
     since = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(START_US)
     return source.select(

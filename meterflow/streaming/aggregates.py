@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from meterflow.operators.oplog import level_counts
 from meterflow.operators.rollup import alert_counts, device_rollup, throughput
 from meterflow.sinks.rollup import CLOSE_AFTER, WIDTH, write_buckets
 from meterflow.sinks.table import compact_side, write_side_batch
@@ -84,6 +85,10 @@ def streaming_alert_counts(alerts: DataFrame, lateness: str = LATENESS) -> DataF
     return alert_counts(alerts.withWatermark("alert_time", lateness))
 
 
+def streaming_level_counts(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    return level_counts(events.withWatermark("event_time", lateness))
+
+
 def coincident_alerts(alerts: DataFrame, lateness: str = LATENESS, width: str = "30 seconds", step: str = "5 seconds"):
     """Windows of a united alert stream in which a telemetry alert follows a network alert.
 

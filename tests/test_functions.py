@@ -20,6 +20,7 @@ def test_device_names(spark, number, name):
 
 def test_device_number_of_other_names(spark):
     assert one(spark, X.device_number(F.lit("meter_x"))) is None
+    assert one(spark, X.device_number(F.lit("meter_99999999999999999999"))) is None
 
 
 def test_shard(spark):
@@ -103,6 +104,9 @@ LINES = [
     ("Successfully flushed batch of 50 records to storage.", "batch_flushed", {"records": 50}),
     ("Successfully captured and parsed a batch of 100 packets.", "capture_done", {"records": 100}),
     ("Something else", "other", {}),
+    # Numbers that are none leave their fact empty and do not fail the query.
+    ("Dispatcher #1 Throughput Status: Sent 5 records (~1.2.3 msg/sec)", "throughput", {"dispatcher": 1, "records": 5}),
+    ("Queue full! Dropping reading for meter 99999999999999999999", "reading_dropped", {}),
 ]
 
 
