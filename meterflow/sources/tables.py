@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,22 @@ def telemetry_between(
     return rows if device_id is None else rows.where(F.col("device_id") == device_id)
 
 
+def telemetry_near(spark: SparkSession, path: str, spans: list[tuple[datetime, datetime]]) -> DataFrame:
+    """Rows of any of the spans (at most some hours each), each row once. Beyond a week of spans only their hours are
+    pruned to."""
+    hours = {
+        int(start.timestamp()) // 3600 + n
+        for start, end in spans
+        for n in range(int(end.timestamp()) // 3600 - int(start.timestamp()) // 3600 + 1)
+    }
+    number = F.unix_date("event_date") * 24 + F.col("event_hour")
+    rows = telemetry(spark, path).where(number.isin(sorted(hours)))
+    if len(spans) <= 168:
+        ts = F.col("timestamp")
+        rows = rows.where(reduce(lambda a, b: a | b, [(ts >= F.lit(a)) & (ts < F.lit(b)) for a, b in spans]))
+    return rows
+
+
 def head(rows: DataFrame, order: list[str], n: int = 10) -> DataFrame:
     """The first rows in a stated order."""
     return rows.orderBy(*order).limit(n)

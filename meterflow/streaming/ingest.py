@@ -18,7 +18,7 @@ from meterflow.operators.decode import accepted, decode, is_severe, rejected, vo
 from meterflow.operators.windows import spikes
 from meterflow.schemas import ALERT_COLUMNS
 from meterflow.sinks.table import write_batch, write_side_batch
-from meterflow.sources.tables import telemetry_between
+from meterflow.sources.tables import telemetry_near
 
 RECORD_KEY = ["topic", "partition", "offset"]
 
@@ -90,15 +90,22 @@ def _write(paths: Paths, spike_options: dict | None) -> Callable[[DataFrame, int
 def _new_spikes(rows: DataFrame, table: str, batch_id: int, options: dict) -> DataFrame | None:
     """Spikes among the rows of this batch, against the table just written: the table is the state.
 
-    Only the hours of the batch and the window before it are read. Readings that come late count for later
-    baselines, but readings judged already are not judged again.
+    Of each hour the batch touches, only the span of its readings and the window before it are read, so a stray
+    reading of last year costs a look at last year's hour. Readings that come late count for later baselines, but
+    readings judged already are not judged again.
     """
-    span = rows.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
-    if span[0] is None:
+    hour = F.date_trunc("hour", F.col("timestamp"))
+    # One row per hour of data in the batch.
+    spans = rows.groupBy(hour).agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).collect()
+    if not spans:
         return None
-    first, last = [datetime.fromtimestamp(us / 1e6, timezone.utc) for us in span]
     reach = timedelta(seconds=options.get("window_sec", 10.0) + 1)
-    near = telemetry_between(rows.sparkSession, table, first - reach, last + timedelta(seconds=1))
+    near = [
+        (datetime.fromtimestamp(low // 1_000_000, timezone.utc) - reach,
+         datetime.fromtimestamp(high // 1_000_000, timezone.utc) + timedelta(seconds=1))
+        for _, low, high in spans
+    ]
+    near = telemetry_near(rows.sparkSession, table, near)
     # The batch is the newest: the rows it landed carry its number.
     found = spikes(near.where(F.col("batch") <= batch_id), **options).where(F.col("batch") == batch_id)
     return found.select(

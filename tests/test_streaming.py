@@ -35,6 +35,11 @@ def records(spark, first, count, seed=1):
             "timestamp": us / 1e6, "device_id": f"meter_{i % 3:05d}",
             "metrics": {"voltage_v": volts, "current_a": 1.0, "power_kw": 0.1, "power_factor": 0.9}, "security_flag": 0})
         out.append((str(i % 3), value, "t", i % 2, i // 2, datetime.fromtimestamp(us / 1e6, timezone.utc)))
+    if first:
+        # A reading that was a day under way.
+        old = json.dumps({"timestamp": START_US / 1e6 - 86400, "device_id": "meter_00001", "metrics": {
+            "voltage_v": 120.0, "current_a": 1.0, "power_kw": 0.1, "power_factor": 0.9}, "security_flag": 0})
+        out.append(("1", old, "t", 9, first, datetime.fromtimestamp((START_US + first * 250_000) / 1e6, timezone.utc)))
     return spark.createDataFrame(out, TOPIC_RECORD)
 
 

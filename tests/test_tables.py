@@ -52,6 +52,20 @@ def test_ranges_read_only_their_hours(spark, tmp_path):
     assert "EqualTo(device_id,meter_00002)" in pushed and "GreaterThanOrEqual(timestamp" in pushed
 
 
+def test_spans_are_read_once_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "t")
+    data = rows(spark)
+    S.write_batch(data, path, 0)
+    minutes = [(50, 70), (60, 80), (200, 210)]
+    spans = [(DAY + timedelta(minutes=a), DAY + timedelta(minutes=b)) for a, b in minutes]
+    at = (F.unix_micros("timestamp") - int(DAY.timestamp() * 1e6)) / 60_000_000
+    want = data.where(((at >= 50) & (at < 80)) | ((at >= 200) & (at < 210)))
+    found = R.telemetry_near(spark, path, spans)
+    assert content(found) == content(want)
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "event_hour" in plan.split("PartitionFilters")[1].splitlines()[0]
+
+
 def test_ranges_over_midnight(spark, tmp_path):
     path = str(tmp_path / "t")
     data = rows(spark, 500, hours=50)
