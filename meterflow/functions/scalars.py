@@ -58,10 +58,6 @@ def timestamp_to_epoch(ts: Column) -> Column:
     return F.unix_micros(ts) / F.lit(1e6)
 
 
-def micros(ts: Column) -> Column:
-    return F.unix_micros(ts)
-
-
 def flag_to_int(flag: Column) -> Column:
     return flag.cast("int")
 
@@ -121,6 +117,16 @@ def current_residual(amps: Column, expected: Column) -> Column:
     return F.abs(amps - expected) / F.lit(SIGMA_AMPS)
 
 
+def is_outside_baseline(volts: Column, amps: Column, hour: Column, sigmas: float = 3.0) -> Column:
+    """Further than ``sigmas`` of noise from all that a meter of unknown scale may show at that hour."""
+    light, heavy = (expected_current(hour, F.lit(scale)) for scale in SCALE_BAND)
+    slack_amps, slack_volts = F.lit(sigmas * SIGMA_AMPS), F.lit(sigmas * SIGMA_VOLTS)
+    return (
+        (amps < light - slack_amps) | (amps > heavy + slack_amps)
+        | (volts < expected_voltage(heavy) - slack_volts) | (volts > expected_voltage(light) + slack_volts)
+    )
+
+
 def is_surge_and_trip(volts: Column, amps: Column, power_factor: Column) -> Column:
     """The power factor is compared after rounding, as a 4-byte 0.2 is not the 8-byte 0.2."""
     return (

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions.scalars import device_number
 from meterflow.operators.windows import trailing
 from meterflow.schemas import ALERT_COLUMNS
 
@@ -43,6 +42,3 @@ def preceded_by(telemetry: DataFrame, network: DataFrame, within_sec: float = 30
     lead = (F.unix_micros("alert_time") - F.unix_micros("last_network_alert")) / F.lit(1e6)
     return telemetry.join(seen, "alert_time").withColumn("lead_sec", lead)
 
-
-def device_numbers(readings: DataFrame) -> DataFrame:
-    return readings.withColumn("device_number", device_number(F.col("device_id")))

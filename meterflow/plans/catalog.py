@@ -301,6 +301,13 @@ def baseline_residual(spark, sf_dir):
     )
 
 
+@registered
+def baseline_outliers(spark, sf_dir):
+    """Readings that no meter of the modelled fleet would show at that hour (of the squeezed clock)."""
+    outside = X.is_outside_baseline(F.col("voltage_v"), F.col("current_a"), X.local_hour(F.col("timestamp")))
+    return plain(adapters.readings(spark, sf_dir).where(outside).select("event_id", "device_id", "voltage_v", "current_a"))
+
+
 @registered
 def surge_signature(spark, sf_dir):
     """Stored (4-byte) readings that look like a surge which tripped the load."""
@@ -538,6 +545,16 @@ def stream_packets(spark, sf_dir):
     return plain(spark.read.parquet(f"{root}/flows").drop("batch"))
 
 
+@registered
+def stream_packet_alerts(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    packets = adapters.packets_of(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
+    packet_stream.start_packet_analysis(
+        packets, f"{root}/flows", f"{root}/state", f"{root}/checkpoint", f"{root}/alerts", trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    return plain(spark.read.parquet(f"{root}/alerts").drop("batch"))
+
+
 @registered
 def stream_sliding_mean(spark, sf_dir):
     readings = adapters.readings_of(adapters.events_stream(spark, sf_dir))

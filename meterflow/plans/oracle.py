@@ -340,6 +340,14 @@ SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 30 SECONDS')} AS win
   {_time('fn')} AS first_network_alert, {_time('lt')} AS last_telemetry_alert FROM w WHERE fn <= lt""",
 }
 
+ORACLES["stream_packet_alerts"] = ORACLES["packet_alerts"]
+ORACLES["baseline_outliers"] = _with(_TEL) + """, h AS (SELECT *, extract('hour' FROM timestamp)
+    + extract('minute' FROM timestamp) / 60::DOUBLE + extract('second' FROM timestamp) / 3600::DOUBLE AS h FROM tel),
+l AS (SELECT *, (5 + 25 * (0.5::DOUBLE - 0.5::DOUBLE * cos(pi() * h / 12))) AS ea FROM h)
+SELECT event_id, device_id, voltage_v, current_a FROM l
+WHERE current_a < ea * 0.7::DOUBLE - 1.5 OR current_a > ea * 1.5::DOUBLE + 1.5
+  OR voltage_v < 120 - ea * 1.5::DOUBLE / 30 * 1.5::DOUBLE - 0.9::DOUBLE
+  OR voltage_v > 120 - ea * 0.7::DOUBLE / 30 * 1.5::DOUBLE + 0.9::DOUBLE"""
 ORACLES["stream_throughput"] = ORACLES["throughput_5s"]
 ORACLES["stream_log_levels"] = ORACLES["log_levels"]
 ORACLES["stream_enrich"] = ORACLES["device_enrich"]

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterflow.operators.network import TARGET_PORT, describe, relevant
+from meterflow.operators.network import TARGET_PORT, describe, network_alerts, relevant
 from meterflow.operators.windows import gap_to_previous
 from meterflow.sinks.table import drop_batch, write_side_batch
 
 
-def _analyze(flows: str, state: str, port: int) -> Callable[[DataFrame, int], None]:
+def _analyze(flows: str, state: str, alerts: str | None, port: int) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         packets = relevant(batch, port).persist()
@@ -34,7 +34,14 @@ def _analyze(flows: str, state: str, port: int) -> Callable[[DataFrame, int], No
             gapped = gap_to_previous(packets, ["capture_id"], "ts", "seq")
             if known is not None:
                 gapped = _first_gaps(gapped, packets, known)
-            write_side_batch(describe(gapped, "capture_id", "ts", "seq"), flows, batch_id)
+            described = describe(gapped, "capture_id", "ts", "seq")
+            if alerts is None:
+                write_side_batch(described, flows, batch_id)
+            else:
+                described = described.persist()
+                write_side_batch(described, flows, batch_id)
+                write_side_batch(network_alerts(described), alerts, batch_id)
+                described.unpersist()
             # A replay of this batch needs the state before it, and no older one.
             drop_batch(spark, state, batch_id - 2)
         finally:
@@ -58,10 +65,17 @@ def _first_gaps(gapped: DataFrame, packets: DataFrame, known: DataFrame) -> Data
 
 
 def start_packet_analysis(
-    packets: DataFrame, flows: str, state: str, checkpoint: str, port: int = TARGET_PORT, trigger: dict | None = None
+    packets: DataFrame,
+    flows: str,
+    state: str,
+    checkpoint: str,
+    alerts: str | None = None,
+    port: int = TARGET_PORT,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
+    """Feature records of a packet stream into ``flows`` and, if named, alert rows into ``alerts``."""
     return (
-        packets.writeStream.foreachBatch(_analyze(flows, state, port))
+        packets.writeStream.foreachBatch(_analyze(flows, state, alerts, port))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()

@@ -55,6 +55,14 @@ def test_expected_load_at_noon(spark):
     assert one(spark, X.expected_voltage(F.lit(amps))) == pytest.approx(118.5)
 
 
+@pytest.mark.parametrize("volts, amps, outside", [
+    (118.5, 30.0, False), (118.5, 20.0, False), (118.5, 46.0, False), (118.5, 47.0, True), (118.5, 19.0, True),
+    (150.0, 30.0, True), (115.0, 30.0, True),
+])
+def test_baseline_at_noon(spark, volts, amps, outside):
+    assert one(spark, X.is_outside_baseline(F.lit(volts), F.lit(amps), F.lit(12.0))) is outside
+
+
 def test_surge_and_trip(spark):
     rows = [(150.0, 0.2, 0.2, True), (144.9, 0.2, 0.2, False), (150.0, 0.6, 0.2, False), (150.0, 0.2, 0.9, False), (145.0, 0.5, 0.2, True)]
     frame = spark.createDataFrame(rows, "v float, a float, pf float, want boolean")
