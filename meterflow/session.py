@@ -19,6 +19,10 @@ def build_session(app: str = "meterflow", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # An hour of record keys for dedup outgrows the heap that the default store keeps its state on.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **conf,
     }
     for key, value in settings.items():

@@ -120,11 +120,19 @@ def _new_spikes(rows: DataFrame, table: str, batch_id: int, options: dict) -> Da
 
 
 def start_ingest(
-    records: DataFrame, paths: Paths, trigger: dict | None = None, spike_options: dict | None = None
+    records: DataFrame,
+    paths: Paths,
+    trigger: dict | None = None,
+    spike_options: dict | None = None,
+    dedup: bool = True,
 ) -> StreamingQuery:
-    """Decode a stream of topic records into the tables, by default once a second."""
+    """Decode a stream of topic records into the tables, by default once a second.
+
+    A broker read through the checkpoint never brings an offset twice. Without ``dedup`` nothing is shuffled or kept
+    for it; files that may hold a record twice need it.
+    """
     return (
-        without_copies(records)
+        (without_copies(records) if dedup else records)
         .writeStream.foreachBatch(_write(paths, spike_options))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))

@@ -101,6 +101,14 @@ def test_a_replayed_batch_changes_nothing(spark, ingested):
     assert landed(spark, paths) == before
 
 
+def test_ingest_without_dedup(spark, tmp_path):
+    source, paths = str(tmp_path / "topic"), ingest.Paths(str(tmp_path / "out"))
+    publish_files(records(spark, 0, 100), source)
+    run(spark, source, paths, dedup=False)
+    want = D.accepted(D.decode(records(spark, 0, 100))).select(*COLUMNS)
+    assert landed(spark, paths) == sorted(tuple(r) for r in want.collect())
+
+
 def readings_file(spark, rows, path):
     data = [(us, d, v, 1.0, 2.0, 0.9, 0) for us, d, v in rows]
     frame = spark.createDataFrame(data, "us bigint, device_id string, voltage_v float, current_a float, power_kw float, power_factor float, security_flag int")
