@@ -20,7 +20,7 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), f"{BLANK}+", "")
 
 
-def _slots(digest: Column, bits: int) -> list[Column]:
+def slots_of(digest: Column, bits: int) -> list[Column]:
     """Positions from 1 to ``bits``, one per hash function."""
     return [F.pmod(F.xxhash64(digest, F.lit(seed)), F.lit(bits)) + 1 for seed in range(SLOTS)]
 
@@ -34,7 +34,7 @@ def repeated_filter(digests: DataFrame, bits: int) -> DataFrame:
 
     A slot's hits are counted on the map side first, so a text that fills the table is one row per task.
     """
-    slots = digests.select(F.explode(F.array(*_slots(F.col("sha"), bits))).alias("slot"))
+    slots = digests.select(F.explode(F.array(*slots_of(F.col("sha"), bits))).alias("slot"))
     twice = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("hits")).filter("hits >= 2")
     return twice.groupBy(F.bitmap_bucket_number("slot").alias("piece")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")
@@ -46,7 +46,7 @@ def flag_possible(frame: DataFrame, pieces: DataFrame, bits: int) -> DataFrame:
     if bits // 8 <= BROADCAST_BYTES:
         pieces = F.broadcast(pieces)
     possible = F.lit(True)
-    for n, slot in enumerate(_slots(F.col("sha"), bits)):
+    for n, slot in enumerate(slots_of(F.col("sha"), bits)):
         piece, bitmap, bit = f"piece_{n}", f"bitmap_{n}", F.bitmap_bit_position(slot)
         frame = frame.withColumn(f"bit_{n}", bit).join(
             pieces.select(F.col("piece").alias(piece), F.col("bitmap").alias(bitmap)),

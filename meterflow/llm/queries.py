@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import dedup, langid, mixing, packing, sharding, topk
+from meterflow.llm import dedup, langid, mixing, ngram_join, packing, sharding, topk
 from meterflow.llm.common import crc_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.decisions(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
