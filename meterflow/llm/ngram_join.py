@@ -28,8 +28,13 @@ SPARE = 1
 BUCKET_SIGNATURES = 2_000_000
 BATCH_SHINGLES = 1_000_000
 BATCH_ROWS = 4096
+#: One document in so many is read beforehand for the shingles that are frequent: in at least one document of RARE, and
+#: in FEWEST of those read. What is frequent decides which signatures are worth sending, never which pairs are found.
+SAMPLE, RARE, FEWEST = 8, 1000, 5
 #: Members that one verification task compares with as many others.
 BLOCK = 256
+#: Rows of such tasks that one call takes on average.
+CALL_ROWS = 50_000
 #: Bits of the filter that picks the texts to read again: its size is fixed, and a fuller filter only passes more texts.
 FILTER_BITS = 1 << 26
 NO_ID = -(1 << 63)
@@ -85,19 +90,21 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(out)
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of the set, signature) for all sets of a batch.
 
     A set signs in its own band and, if a partner of the next band can reach the similarity, in that one. An element's
     hash deals it to a first- and a second-level part; a signature is the sum of the hashes in a first-level part
-    without one of its second-level parts. A signature of no elements is left out: a pair is still found, as it agrees on
-    more first-level parts than either set has parts with such a signature. A set with too many of them signs those
-    as well, and meets the other sets with too many there.
+    without one of its second-level parts. A signature of frequent elements alone, or of none, is weak and left out: a
+    pair is still found, as it agrees on more first-level parts than either set has parts with a weak signature, and
+    equal projections are both weak or neither. A set with too many weak ones signs those as well, and meets the other
+    sets with too many there.
     """
     places, found = [], []
     sizes = np.array([len(s) for s in sets], np.int64)
     elements = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
+    rare = (~isin_sorted(elements, frequent)).astype(np.int64)
     own = np.array([bisect.bisect_right(FIRSTS, n) - 1 for n in sizes.tolist()], np.int64)
     designs = {int(b): design(int(b)) for band in np.unique(own) for b in (band, band + 1)}
     for step in (0, 1):
@@ -109,7 +116,7 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         spares = np.array([designs[b][1] for b in band.tolist()], np.int64)
         starts = np.concatenate([[0], np.cumsum(parts)])
         mine = signs[owner]
-        who, values = owner[mine], elements[mine]
+        who, values, counts = owner[mine], elements[mine], rare[mine]
         coin = mixed(values ^ band[who].astype(np.uint64))
         first = starts[who] + ((coin >> np.uint64(32)).astype(np.int64) * parts[who] >> 32)
         second = ((coin & np.uint64(0xFFFFFFFF)).astype(np.int64) * PARTS) >> 32
@@ -117,16 +124,16 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         count = np.zeros((starts[-1], PARTS), np.int64)
         with np.errstate(over="ignore"):
             np.add.at(total, (first, second), mixed(values))
-            np.add.at(count, (first, second), 1)
+            np.add.at(count, (first, second), counts)
             whole, number = total.sum(axis=1, dtype=np.uint64)[:, None], count.sum(axis=1)[:, None]
             covered, covers = whole - total, number - count
         of = np.repeat(np.arange(len(sets)), parts)
         # One element can differ nowhere: with a single part, no element may differ and the whole set is the signature.
         single = (parts == 1)[of]
         covered[single], covers[single] = whole[single], number[single]
-        void = covers == 0
-        too_many = np.bincount(of, void.any(axis=1), len(sets)) > spares
-        signed = ~void | too_many[of][:, None]
+        weak = covers == 0
+        too_many = np.bincount(of, weak.any(axis=1), len(sets)) > spares
+        signed = ~weak | too_many[of][:, None]
         signed[single, 1:] = False
         label = ((np.arange(starts[-1]) - starts[of]) * PARTS)[:, None] + np.arange(PARTS)[None, :]
         seed = mixed(band[of].astype(np.uint64))[:, None] ^ mixed(label.astype(np.uint64))
@@ -138,6 +145,33 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(found)
 
 
+def isin_sorted(values: np.ndarray, members: np.ndarray) -> np.ndarray:
+    if not len(members):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(members, values)
+    at[at == len(members)] = 0
+    return members[at] == values
+
+
+def frequent_shingles(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of the shingles in at least one of ``RARE`` documents: at most RARE times the mean set."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(text) for text in batch.column(0).to_pylist()]
+            values, times = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
+            keep = times > 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[keep].view(np.int64)), pa.array(times[keep].astype(np.int64))], names=["shingle", "n"]
+            )
+
+    read = rows.filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    least = max(FEWEST, read.count() // RARE)
+    found = read.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    listed = found.filter(F.col("n") >= least).select("shingle").collect()
+    return np.sort(np.array([r["shingle"] for r in listed], np.int64).view(np.uint64))
+
+
 def node_of(elements: np.ndarray) -> int:
     """The 8-byte name of a set; documents with the same set are one node."""
     return int.from_bytes(xxhash.xxh3_64_digest(elements.tobytes()), "little", signed=True)
@@ -151,7 +185,7 @@ def _runs(order: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
     return [order[edges[n] : edges[n + 1]] for n in long]
 
 
-def _sign_partition(buckets: int):
+def _sign_partition(buckets: int, frequent):
     """Rows for the bucket tasks: facts of documents, packed signatures by bucket, and runs within the batch."""
     shift = np.uint64(32)
 
@@ -164,7 +198,7 @@ def _sign_partition(buckets: int):
         _, first = np.unique(nodes, return_index=True)
         first = first[sizes[first] > 0]
         own = nodes[first]
-        place, value = signatures([sets[n] for n in first.tolist()])
+        place, value = signatures([sets[n] for n in first.tolist()], frequent.value)
         order = np.lexsort((own[place], value))
         place, value = place[order], value[order]
         leads = np.concatenate([[True], value[1:] != value[:-1]]) if len(value) else np.empty(0, bool)
@@ -307,6 +341,62 @@ def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(made, "sets")
 
 
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    """A bit per element by its hash, in a power of two of 8-byte words with at least two bits an element."""
+    bits = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    out = np.zeros(bits, np.uint8)
+    out[(elements & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").view(np.uint64)
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    return np.bitwise_or.reduce(words.reshape(-1, width), axis=0)
+
+
+def may_link(sizes: np.ndarray, maps: list[np.ndarray], size: int, words: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """For one set against several: false only where they cannot be linked.
+
+    Every bit that differs stands for an element that differs, and linked sets differ in few.
+    """
+    width = min([len(words), *map(len, maps)])
+    both = np.array([_folded(m, width) for m in maps]).reshape(len(maps), width) ^ _folded(words, width)[None, :]
+    return np.bitwise_count(both).sum(axis=1) * (100 + percent) <= (sizes + size) * (100 - percent)
+
+
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(e, np.uint64) for e in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(e) for e in own], pa.int64()), pa.array([bitmap(e).tobytes() for e in own], pa.binary())],
+                names=["node", "size", "bits"],
+            )
+
+    return stored(sets.select("node", "elements").mapInArrow(make, "node long, size long, bits binary"), "bitmaps")
+
+
+def _with(frame: DataFrame, node: str, other: DataFrame, columns: list[str], suffix: str) -> DataFrame:
+    named = other.select(F.col("node").alias("__of"), *[F.col(c).alias(c + suffix) for c in columns])
+    return frame.join(named, F.col(node) == F.col("__of")).drop("__of")
+
+
+def _possible(edges: DataFrame, maps: DataFrame) -> DataFrame:
+    """The edges that their bitmaps do not rule out."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in range(3, 7)]
+            keep = [
+                bool(may_link(np.array([m]), [np.frombuffer(y, np.uint64)], n, np.frombuffer(x, np.uint64))[0])
+                for n, x, m, y in zip(*columns)
+            ]
+            yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
+
+    both = _with(_with(edges, "a", maps, ["size", "bits"], "_a"), "b", maps, ["size", "bits"], "_b")
+    picked = both.select("a", "b", "hits", "size_a", "bits_a", "size_b", "bits_b")
+    return stored(picked.mapInArrow(check, "a long, b long, hits long"), "possible")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` that are linked."""
 
@@ -318,10 +408,8 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("node").alias("one"), F.col("elements").alias("of_a"))
-    two = sets.select(F.col("node").alias("two"), F.col("elements").alias("of_b"))
-    both = pairs.join(one, F.col("a") == F.col("one")).join(two, F.col("b") == F.col("two"))
-    return stored(both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long"), "links")
+    both = _with(_with(pairs, "a", sets, ["elements"], "_a"), "b", sets, ["elements"], "_b")
+    return stored(both.select("a", "b", "elements_a", "elements_b").mapInArrow(check, "a long, b long"), "links")
 
 
 def _labelled(frame: DataFrame, node: str, roots: DataFrame, label: str) -> DataFrame:
@@ -331,12 +419,81 @@ def _labelled(frame: DataFrame, node: str, roots: DataFrame, label: str) -> Data
     ).drop("__of", "__root")
 
 
-def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+TASK = "call int, key long, i int, j int, block int, node long, label long"
+
+
+def _tasks(table: pa.Table) -> Iterator[tuple[int, int, int, list[tuple]]]:
+    """Of a call's rows, those of each key and pair of blocks: (key, i, j, [(block, node, label)])."""
+    rows = table.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")])
+    key, i, j, block, node, label = (rows.column(n).to_pylist() for n in ("key", "i", "j", "block", "node", "label"))
+    start = 0
+    for end in range(1, len(key) + 1):
+        if end == len(key) or (key[end], i[end], j[end]) != (key[start], i[start], j[start]):
+            yield key[start], i[start], j[start], list(zip(block[start:end], node[start:end], label[start:end]))
+            start = end
+
+
+def _partners(rows: list[tuple], i: int, j: int, seen: set, sizes: dict, maps: dict) -> Iterator[tuple[tuple, list[tuple]]]:
+    """For each member of block i the members of block j that may link with it, unless this call had the two before."""
+    right = [r for r in rows if r[0] == j]
+    for n, row in enumerate(r for r in rows if r[0] == i):
+        _, node, label = row
+        others = []
+        for other in right[n + 1 :] if i == j else right:
+            pair = (node, other[1]) if node < other[1] else (other[1], node)
+            if other[2] != label and pair not in seen:
+                seen.add(pair)
+                others.append(other)
+        if others:
+            may = may_link(np.array([sizes[o[1]] for o in others]), [maps[o[1]] for o in others], sizes[node], maps[node])
+            yield row, [o for o, m in zip(others, may.tolist()) if m]
+
+
+def _sieve(tasks: pa.Table, nodes: pa.Table) -> pa.Table:
+    """The rows of members that may be linked with another one of their run."""
+    ids = nodes.column("name").to_pylist()
+    sizes = dict(zip(ids, nodes.column("size").to_pylist()))
+    maps = {n: np.frombuffer(w, np.uint64) for n, w in zip(ids, nodes.column("bits").to_pylist())}
+    call, made, seen = tasks.column("call")[0].as_py() if len(tasks) else 0, [], set()
+    for key, i, j, rows in _tasks(tasks):
+        keep = set()
+        for row, others in _partners(rows, i, j, seen, sizes, maps):
+            if others:
+                keep.update((row, *others))
+        made.extend((call, key, i, j, *row) for row in sorted(keep))
+    names = ["call", "key", "i", "j", "block", "node", "label"]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(names, list(zip(*made)) or [[]] * 7, types)})
+
+
+def _compare(tasks: pa.Table, nodes: pa.Table) -> pa.Table:
+    """Links that join labels which no earlier link of the call has joined."""
+    own = {n: np.frombuffer(e, np.uint64) for n, e in zip(nodes.column("name").to_pylist(), nodes.column("elements").to_pylist())}
+    sizes, maps = {n: len(e) for n, e in own.items()}, {n: bitmap(e) for n, e in own.items()}
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    made, seen = [], set()
+    for _, i, j, rows in _tasks(tasks):
+        for (_, node, label), others in _partners(rows, i, j, seen, sizes, maps):
+            for _, other, other_label in others:
+                one, two = find(label), find(other_label)
+                if one != two and linked(own[node], own[other]):
+                    parent[two] = one
+                    made.append((node, other))
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", list(zip(*made)) or [[], []])})
+
+
+def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame, maps: DataFrame) -> DataFrame:
     """Links between members of a run that the links to its first member leave in different components.
 
     Runs whose members are all in one component need nothing more. The members of the others are dealt to blocks, and
-    every two blocks are compared by a task of their own; pairs already known to be connected are passed over, and no
-    pair is ever a row.
+    every two blocks are compared by a task of their own: first on bitmaps, then those that are left on their sets.
+    Pairs already known to be connected are passed over, and no pair is ever a row.
     """
     entries = _labelled(
         runs.filter(F.col("key").isNotNull()).select("key", F.explode("members").alias("node")), "node", roots, "label"
@@ -345,41 +502,31 @@ def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     split = split.select(F.col("key").alias("of"))
     left = stored(entries.join(split, F.col("key") == F.col("of"), "left_semi").distinct(), "split-runs")
     sizes = left.groupBy("key").agg(
-        F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same")
+        F.count(F.lit(1)).alias("members"), F.min("node").alias("lead"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same"),
     )
-    # Runs of the same members are compared once.
-    sizes = sizes.filter("members > 1").groupBy("members", "same").agg(F.min("key").alias("of")).select(
-        "of", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
+    # Runs of the same members are compared once. Runs of one block with the same first member share a call, where
+    # they mostly hold the same pairs; the blocks of longer runs are calls by themselves. Calls follow the rows.
+    calls = max(16, left.count() // CALL_ROWS)
+    sizes = sizes.groupBy("members", "same", "lead").agg(F.min("key").alias("of")).select(
+        "of", "lead", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
     )
     dealt = left.join(sizes, F.col("key") == F.col("of")).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        parent: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                x = parent[x]
-            return x
-
-        first, second = group["i"].iloc[0], group["j"].iloc[0]
-        left_side = group[group["block"] == first]
-        right_side = group[group["block"] == second]
-        rows = lambda side: list(zip(side["node"], side["label"], [np.frombuffer(e, np.uint64) for e in side["elements"]]))
-        ones, twos = rows(left_side), rows(right_side)
-        made = []
-        for at, (a, la, ea) in enumerate(ones):
-            for b, lb, eb in twos[at + 1 :] if first == second else twos:
-                if find(la) != find(lb) and linked(ea, eb):
-                    parent[find(lb)] = find(la)
-                    made.append((a, b))
-        return pd.DataFrame(made, columns=["a", "b"], dtype="int64")
-
-    with_sets = dealt.join(sets.select(F.col("node").alias("of_node"), "elements"), F.col("node") == F.col("of_node"))
-    return stored(with_sets.select("key", "i", "j", "block", "node", "label", "elements").groupBy("key", "i", "j").applyInPandas(
-        compare, "a long, b long"), "links")
+    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    named = F.when(F.col("blocks") == 1, F.xxhash64("lead")).otherwise(F.xxhash64("lead", "i", "j"))
+    tasks = stored(
+        dealt.select(F.pmod(named, F.lit(calls)).cast("int").alias("call"), "key", "i", "j", "block", "node", "label"), "tasks"
+    )
+
+    def called(work, rows: DataFrame, things: DataFrame, columns: list[str], kind: str, name: str) -> DataFrame:
+        used = rows.select(F.col("call").alias("its_call"), F.col("node").alias("name")).distinct()
+        used = _with(used, "name", things, columns, "")
+        return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(work, kind), name)
+
+    kept = called(_sieve, tasks, maps, ["size", "bits"], TASK, "sieved")
+    return called(_compare, kept, sets, ["elements"], "a long, b long", "links").distinct()
 
 
 def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -400,7 +547,8 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     letters = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About six bytes a word, one shingle a word, one signature a shingle.
     buckets = max(16, -(-letters // (6 * BUCKET_SIGNATURES)))
-    sent = rows.mapInArrow(_sign_partition(buckets), "bucket int, kind string, one binary, two binary, three binary")
+    frequent = frame.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
+    sent = rows.mapInArrow(_sign_partition(buckets, frequent), "bucket int, kind string, one binary, two binary, three binary")
     found = stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "runs")
     facts = found.filter(F.col("n").isNotNull()).select("doc_id", "node", "n")
     runs = found.filter(F.col("members").isNotNull()).select("key", "members", "hits")
@@ -412,6 +560,8 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets = _sets(rows, stored(wanted, "wanted-nodes"))
 
     # Every node is first compared with the one it shares most signatures with.
+    maps = _bitmaps(sets)
+    edges = _possible(edges, maps)
     best = edges.groupBy("a").agg(F.max(F.struct("hits", (-F.col("b")).alias("b"))).alias("best"))
     best = best.select("a", (-F.col("best.b")).alias("b"))
     links = _verify(best, sets)
@@ -421,7 +571,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     open_ = _labelled(_labelled(open_, "a", roots, "of_a"), "b", roots, "of_b").filter("of_a <> of_b").select("a", "b")
     links = links.unionAll(_verify(open_, sets))
     roots = components(links)
-    links = links.unionAll(_rest(runs, roots, sets))
+    links = links.unionAll(_rest(runs, roots, sets, maps))
     roots = components(links)
 
     labelled = stored(_labelled(facts, "node", roots, "label"), "labelled")
