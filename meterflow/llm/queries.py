@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import dedup, langid, mixing, ngram_join, packing, sharding, topk
+from meterflow.llm import dedup, langid, licenses, mixing, ngram_join, packing, pii, sharding, topk, toxicity
 from meterflow.llm.common import crc_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,41 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc_of("doc_id"), F.lit(5)) == 0
+    stems, weights = toxicity.learn(documents, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(documents, stems, weights).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @registered
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+@registered
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def of(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of(kind) for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256"),
+        pii.joined(F.concat("base", "learned")).alias("spans"),
+    )
+
+
 @registered
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), 40).select(
