@@ -18,7 +18,7 @@ ship(__name__)
 #: Rests that are balanced against each other; bounds the memory of a task.
 CHUNK = 2048
 #: A rest is cut into pieces of at most this share of a window: smaller pieces leave less padding.
-CUT = 4
+CUT = 8
 #: Bytes of an id.
 ID = 4
 #: Distinct chunks of text whose ids a task remembers, and the longest chunk that it does remember.
@@ -113,7 +113,7 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
 
     Columns: the id column, ``start``, ``length``, ``doc_tokens``, ``sequence_id``, ``offset`` and ``ids``. A
     document's ids end with ``end_id``. It is cut at every ``capacity`` ids; such a piece is a sequence. Of the rest,
-    pieces of at most a quarter of a window are balanced with those of other documents of the same task, so that no
+    pieces of at most an eighth of a window are balanced with those of other documents of the same task, so that no
     row is shuffled and a task holds no more than ``CHUNK`` rests at a time. A null or empty text is its ``end_id``
     alone. Rows are taken one by one: repeated rows are packed as often as they occur, a null id stays null. An empty
     table gives no rows. Sequence ids are unique but not gapless; they follow the input's partitions, so that a task
