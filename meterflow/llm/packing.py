@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,10 @@ CUT = 8
 #: Bytes of an id.
 ID = 4
 #: Distinct chunks of text whose ids a task remembers, and the longest chunk that it does remember.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 LONGEST = 48
+#: Marks that end a word of letters and are units of their own with what follows them.
+MARKS = ".,;:!?*%&$#|)\""
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -31,7 +34,8 @@ class Tokens:
     """Ids of texts as little-endian 4-byte words.
 
     The tokenizer drops white space and never joins across it, so that the ids of a text are those of its chunks
-    between blanks and line feeds, one after the other. Chunks repeat; their ids are remembered. A text that holds
+    between blanks and line feeds, one after the other, and those of a word are the same in any case. Chunks repeat;
+    their ids are remembered. A text that holds
     the string of a special token, which may contain no blank but is matched before anything else, goes through whole.
     """
 
@@ -41,27 +45,64 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = end_id.to_bytes(ID, "little")
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[n for word, n in words.items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, from one encoding: each word is one unit, whose last id alone ends a word."""
+        ids = np.asarray(self._encode_one(" ".join(words)), dtype="<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            return self._encode(words)
+        packed, cuts = ids.tobytes(), (ends * ID).tolist()
+        return [packed[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _encode_one(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remembers the ids of new chunks; letters and the marks after them are units of their own."""
+        known, words, others, joined = self.known, set(), set(), []
+        for chunk in chunks:
+            word = chunk.rstrip(MARKS)
+            if word.isalpha() and len(chunk) <= LONGEST:
+                words.add(word)
+                if len(word) < len(chunk):
+                    others.add(chunk[len(word) :])
+                    joined.append((chunk, word))
+            else:
+                others.add(chunk)
+        for encode, wanted in ((self._words, words), (self._encode, others)):
+            new = list(wanted.difference(known))
+            if new:
+                known.update(zip(new, encode(new)))
+        for chunk, word in joined:
+            known[chunk] = known[word] + known[chunk[len(word) :]]
+
     def of(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._encode([text])[0] + self.end
+        # Letters of a composed text fall to lower case one by one, but for the sigma, which looks at its neighbours.
+        if "Σ" not in text and unicodedata.is_normalized("NFC", text):
+            text = text.lower()
         chunks = text.replace("\n", " ").split(" ")
         known = self.known
-        new = list(set(chunks).difference(known))
+        new = set(chunks).difference(known)
         if new:
-            if len(known) + len(new) > REMEMBERED:
+            if len(known) + 2 * len(new) > REMEMBERED:
                 known.clear()
-                new = list(set(chunks))
-            known.update(zip(new, self._encode(new)))
+                new = set(chunks)
+            self._learn(list(new))
         ids = b"".join([known[c] for c in chunks])
         for chunk in new:
             if len(chunk) > LONGEST:
-                del known[chunk]
+                known.pop(chunk, None)
         return ids + self.end
 
 
