@@ -22,8 +22,10 @@ FIT_ROWS = 500
 ROUNDS = 3
 #: Added to every expected count, so that no piece is impossible in a language.
 SMOOTHING = 0.1
-#: Words whose score a task remembers.
-REMEMBERED = 200_000
+#: Words whose score a task remembers, texts that it takes at a time, and the longest word scored together with others.
+REMEMBERED = 400_000
+TEXTS = 400
+SHORT = 32
 LETTERS = re.compile(r"[^\W\d_]+")
 NONE = "und"
 TINY = 1e-200
@@ -48,6 +50,7 @@ class Lattice:
         self.pieces, self.unknown = pieces, unknown
         self.longest = max(map(len, pieces), default=1)
         self.languages = len(unknown)
+        self.table = None
 
     def forward(self, word: str) -> tuple[list[tuple[float, ...]], list[float]]:
         """Per place the sum over segmentations up to it, and the logarithm of the factor it was scaled by."""
@@ -79,6 +82,32 @@ class Lattice:
         sums, scale = self.forward(word)
         return [math.log(max(s, 1e-300)) - scale[-1] for s in sums[-1]]
 
+    def scores(self, words: list[str]) -> np.ndarray:
+        """The log-probabilities of many words: those of one length take each step of the forward pass together."""
+        if self.table is None:
+            rows = [*self.pieces.values(), self.unknown, (0.0,) * self.languages]
+            self.table = np.array(rows).reshape(len(rows), self.languages)
+            self.place = {p: n for n, p in enumerate(self.pieces)}
+        out = np.empty((len(words), self.languages))
+        by_size: dict[int, list[int]] = {}
+        for n, word in enumerate(words):
+            if len(word) > SHORT:
+                out[n] = self.score(word)
+            else:
+                by_size.setdefault(len(word), []).append(n)
+        get, absent = self.place.get, len(self.table) - 1
+        for size, places in by_size.items():
+            group = [words[n] for n in places]
+            sums = [np.ones((len(group), self.languages))]
+            for end in range(1, size + 1):
+                at = np.zeros((len(group), self.languages))
+                for start in range(max(0, end - self.longest), end):
+                    other = absent - 1 if start == end - 1 else absent
+                    at += sums[start] * self.table[[get(w[start:end], other) for w in group]]
+                sums.append(at)
+            out[places] = np.log(np.maximum(sums[-1], 1e-300))
+        return out
+
 
 def expected(word: str, pieces: dict[str, float], unknown: float, longest: int) -> Iterator[tuple[str, float]]:
     """How often each piece is used in a word of ordinary length, averaged over its segmentations in one language."""
@@ -180,29 +209,48 @@ def predict(frame: DataFrame, languages: list[str], lattice: Lattice, id_col: st
         own = Lattice(*model.value)
         place: dict[str, int] = {}
         logs = np.zeros((REMEMBERED, len(languages)))
-        for batch in batches:
-            best, sure = [], []
-            for text in batch.column(1).to_pylist():
+        def remember(words: set[str]) -> None:
+            new = list(words.difference(place))
+            if len(place) + len(new) > REMEMBERED:
+                place.clear()
+                new = list(words)
+            if new:
+                logs[len(place) : len(place) + len(new)] = own.scores(["▁" + w for w in new])
+                place.update(zip(new, range(len(place), len(place) + len(new))))
+
+        def judged(words: list[str]) -> tuple[str, float]:
+            if not words or not languages:
+                return NONE, 0.0
+            total = np.zeros(len(languages))
+            # A very long text is taken in parts, so that its words fit into what is remembered.
+            for start in range(0, len(words), REMEMBERED // 2):
+                part = words[start : start + REMEMBERED // 2]
+                if len(words) > REMEMBERED // 2:
+                    remember(set(part))
+                total += logs[[place[w] for w in part]].sum(axis=0)
+            at = int(total.argmax())
+            return languages[at], float(1.0 / np.exp(np.maximum(total - total[at], -700.0)).sum())
+
+        def grouped(texts: list[str | None]) -> Iterator[list[list[str]]]:
+            """Words of several texts, as many as can be remembered at once; a longer text comes alone."""
+            group, size = [], 0
+            for text in texts:
                 words = words_of(text)
-                if not words or not languages:
-                    best.append(NONE)
-                    sure.append(0.0)
-                    continue
-                total = np.zeros(len(languages))
-                # A very long text is taken in parts, so that its words fit into what is remembered.
-                for start in range(0, len(words), REMEMBERED // 2):
-                    part = words[start : start + REMEMBERED // 2]
-                    new = set(part).difference(place)
-                    if len(place) + len(new) > REMEMBERED:
-                        place.clear()
-                        new = set(part)
-                    for word in new:
-                        logs[len(place)] = own.score("▁" + word)
-                        place[word] = len(place)
-                    total += logs[[place[w] for w in part]].sum(axis=0)
-                at = int(total.argmax())
-                best.append(languages[at])
-                sure.append(float(1.0 / np.exp(np.maximum(total - total[at], -700.0)).sum()))
+                if group and (len(group) >= TEXTS or size + len(words) > REMEMBERED // 2):
+                    yield group
+                    group, size = [], 0
+                group.append(words)
+                size += len(words)
+            if group:
+                yield group
+
+        for batch in batches:
+            found = []
+            for group in grouped(batch.column(1).to_pylist()):
+                if len(group) > 1 or len(group[0]) <= REMEMBERED // 2:
+                    remember(set().union(*group))
+                found.extend(map(judged, group))
+            best, sure = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(best, pa.string()), pa.array(sure, pa.float64())],
                 names=[id_col, "lang_pred", "score"],
