@@ -90,7 +90,8 @@ def decisions(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"),
     )
     possible = flagged.filter("possible").drop("possible")
-    grouped = possible.join(_groups(possible), "sha").select(
+    # Written first, so that the join has plain exchanges on both sides and a hot text can be split.
+    grouped = possible.join(stored(_groups(possible), "groups"), "sha").select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("uid") == F.col("best.uid")).alias("kept"), F.col("sha").alias("text_sha256"),
     )
@@ -112,7 +113,7 @@ def drop_copies(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pieces = stored(repeated_filter(tagged.select("sha"), bits), "repeated")
     flagged = flag_possible(tagged, pieces, bits)
     possible = flagged.filter("possible")
-    best = _groups(possible.drop("row")).select(
+    best = stored(_groups(possible.drop("row")), "groups").select(
         F.col("sha").alias("of"), (-F.col("best.n")).alias("best_n"), F.col("best.id").alias("best_id")
     )
     kept = possible.join(best, F.col("sha") == F.col("of")).filter(
