@@ -308,9 +308,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, elements) of the nodes of ``wanted`` (doc_id, node), from a second reading of the texts.
+    """(node, size, bits, elements) of the nodes of ``wanted`` (doc_id, node), from a second reading of the texts.
 
-    Only documents whose id passes a filter of the wanted ids leave the scan. The filter has a fixed size.
+    Only documents whose id passes a filter of the wanted ids leave the scan; a few others pass it too. The filter has
+    a fixed size.
     """
     bits = min(FILTER_BITS, dedup.filter_bits(wanted.count()))
     name = F.coalesce(F.col("id").cast("string"), F.lit(""))
@@ -325,20 +326,24 @@ def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            nodes, elements = [], []
+            made = []
             for text in batch.column(0).to_pylist():
                 own = shingles(text)
                 node = node_of(own)
                 if len(own) and node not in seen:
                     seen.add(node)
-                    nodes.append(node)
-                    elements.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(elements, pa.binary())], names=["node", "elements"])
+                    made.append((node, len(own), bitmap(own).tobytes(), own.tobytes()))
+            columns = list(zip(*made)) or [[]] * 4
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)], names=["node", "size", "bits", "elements"]
+            )
 
-    made = chosen.filter("possible").select("text").mapInArrow(read, "node long, elements binary")
-    only = wanted.select(F.col("node").alias("of"))
-    made = made.join(only, F.col("node") == F.col("of"), "left_semi").dropDuplicates(["node"])
-    return stored(made, "sets")
+    made = chosen.filter("possible").select("text").mapInArrow(read, "node long, size long, bits binary, elements binary")
+    made = stored(made, "sets")
+    # Ids that repeat can bring a node from several tasks; only then do the sets move.
+    twice = made.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return made if twice.isEmpty() else stored(made.dropDuplicates(["node"]), "sets")
 
 
 def bitmap(elements: np.ndarray) -> np.ndarray:
@@ -363,18 +368,6 @@ def may_link(sizes: np.ndarray, maps: list[np.ndarray], size: int, words: np.nda
     return np.bitwise_count(both).sum(axis=1) * (100 + percent) <= (sizes + size) * (100 - percent)
 
 
-def _bitmaps(sets: DataFrame) -> DataFrame:
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.frombuffer(e, np.uint64) for e in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(e) for e in own], pa.int64()), pa.array([bitmap(e).tobytes() for e in own], pa.binary())],
-                names=["node", "size", "bits"],
-            )
-
-    return stored(sets.select("node", "elements").mapInArrow(make, "node long, size long, bits binary"), "bitmaps")
-
-
 def _with(frame: DataFrame, node: str, other: DataFrame, columns: list[str], suffix: str) -> DataFrame:
     named = other.select(F.col("node").alias("__of"), *[F.col(c).alias(c + suffix) for c in columns])
     return frame.join(named, F.col(node) == F.col("__of")).drop("__of")
@@ -488,7 +481,7 @@ def _compare(tasks: pa.Table, nodes: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", list(zip(*made)) or [[], []])})
 
 
-def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame, maps: DataFrame) -> DataFrame:
+def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between members of a run that the links to its first member leave in different components.
 
     Runs whose members are all in one component need nothing more. The members of the others are dealt to blocks, and
@@ -525,7 +518,7 @@ def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame, maps: DataFrame) -
         used = _with(used, "name", things, columns, "")
         return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(work, kind), name)
 
-    kept = called(_sieve, tasks, maps, ["size", "bits"], TASK, "sieved")
+    kept = called(_sieve, tasks, sets, ["size", "bits"], TASK, "sieved")
     return called(_compare, kept, sets, ["elements"], "a long, b long", "links").distinct()
 
 
@@ -560,8 +553,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets = _sets(rows, stored(wanted, "wanted-nodes"))
 
     # Every node is first compared with the one it shares most signatures with.
-    maps = _bitmaps(sets)
-    edges = _possible(edges, maps)
+    edges = _possible(edges, sets)
     best = edges.groupBy("a").agg(F.max(F.struct("hits", (-F.col("b")).alias("b"))).alias("best"))
     best = best.select("a", (-F.col("best.b")).alias("b"))
     links = _verify(best, sets)
@@ -571,7 +563,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     open_ = _labelled(_labelled(open_, "a", roots, "of_a"), "b", roots, "of_b").filter("of_a <> of_b").select("a", "b")
     links = links.unionAll(_verify(open_, sets))
     roots = components(links)
-    links = links.unionAll(_rest(runs, roots, sets, maps))
+    links = links.unionAll(_rest(runs, roots, sets))
     roots = components(links)
 
     labelled = stored(_labelled(facts, "node", roots, "label"), "labelled")
