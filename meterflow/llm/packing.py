@@ -17,7 +17,7 @@ from meterflow.llm.common import ship
 ship(__name__)
 
 #: Rests that are balanced against each other; bounds the memory of a task.
-CHUNK = 2048
+CHUNK = 1024
 #: A rest is cut into pieces of at most this share of a window: smaller pieces leave less padding.
 CUT = 8
 #: Bytes of an id.
@@ -89,7 +89,7 @@ class Tokens:
         if any(s in text for s in self.special):
             return self._encode([text])[0] + self.end
         # Letters of a composed text fall to lower case one by one, but for the sigma, which looks at its neighbours.
-        if "Σ" not in text and unicodedata.is_normalized("NFC", text):
+        if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", text):
             text = text.lower()
         chunks = text.replace("\n", " ").split(" ")
         known = self.known
@@ -99,7 +99,7 @@ class Tokens:
                 known.clear()
                 new = set(chunks)
             self._learn(list(new))
-        ids = b"".join([known[c] for c in chunks])
+        ids = b"".join(map(known.__getitem__, chunks))
         for chunk in new:
             if len(chunk) > LONGEST:
                 known.pop(chunk, None)
