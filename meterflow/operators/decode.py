@@ -49,6 +49,11 @@ def _quoted_number(text: Column) -> Column:
     return text.rlike(r'"(timestamp|' + "|".join(METRICS) + r')"\s*:\s*"')
 
 
+def _unquoted_device(text: Column) -> Column:
+    """The JSON reader turns an object, a list, a number or a truth value into text; a device id is a text already."""
+    return text.rlike(r'"device_id"\s*:\s*[^"\sn]')
+
+
 def _breaks_real(value: Column) -> Column:
     """A finite number that a 4-byte float cannot hold."""
     finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
@@ -73,7 +78,7 @@ def _looks_clean(row: Callable[[str], Column]) -> Column:
     checks = [
         row("well_formed"), ~row("mistyped"), _epoch_in_range(row("epoch_sec")), *small,
         F.length(row("device_id")) <= MAX_DEVICE_ID, ~row("device_id").contains("\x00"),
-        row("security_flag").between(*INT_RANGE),
+        ~row("device_id").rlike(r"^([\[{0-9-]|true$|false$)"), row("security_flag").between(*INT_RANGE),
     ]
     return F.coalesce(_all(checks), F.lit(False))
 
@@ -89,7 +94,7 @@ def _reason(row: Callable[[str], Column]) -> Column:
         .when(epoch.isNull(), "type")
         .when(~_epoch_in_range(epoch), "timestamp")
         .when(_any([row(c).isNull() & ~_has_key(text, c) for c in _STORED]), "missing_key")
-        .when(row("mistyped") | _quoted_number(text), "type")
+        .when(row("mistyped") | _quoted_number(text) | _unquoted_device(text), "type")
         .when(_any([row(c).isNull() for c in _STORED]), "constraint")
         .when((F.length(row("device_id")) > MAX_DEVICE_ID) | row("device_id").contains("\x00"), "constraint")
         .when(_any([_breaks_real(row(c)) for c in METRICS]), "constraint")

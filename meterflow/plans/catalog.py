@@ -16,7 +16,8 @@ from meterflow.schemas import METRICS
 from meterflow.session import scratch_path
 from meterflow.sinks import rollup as materialized
 from meterflow.sinks import table as telemetry_sink
-from meterflow.sources import adapters, tables
+from meterflow.sinks.topic import publish_files
+from meterflow.sources import adapters, tables, topic
 from meterflow.streaming import aggregates, ingest
 from meterflow.streaming import packets as packet_stream
 
@@ -508,6 +509,22 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@registered
+def stream_ingest_late(spark, sf_dir):
+    """The later half of the records first, then the earlier half, then copies of some; a restart before each."""
+    source, paths = scratch_path(spark, "topic"), ingest.Paths(scratch_path(spark, "ingest"))
+    messages = adapters.messages(spark, sf_dir)
+    middle = messages.agg(F.percentile_approx(F.unix_micros("timestamp"), 0.5)).first()[0]
+    late = F.unix_micros("timestamp") < middle
+    for part in (~late, late, ~late & (F.col("offset") % 3 == 0)):
+        publish_files(messages.where(part), source)
+        ingest.start_ingest(topic.stream_topic_files(spark, source), paths, AVAILABLE_NOW).awaitTermination()
+    rows = tables.telemetry(spark, paths.table)
+    return plain(rows.select(*telemetry_sink.COLUMNS)).withColumn(
+        "voltage_v", F.nanvl("voltage_v", F.lit(None).cast("double"))
+    )
+
+
 @registered
 def stream_rejects(spark, sf_dir):
     rejects = spark.read.parquet(_ingested(spark, sf_dir).rejects)

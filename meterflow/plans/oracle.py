@@ -320,6 +320,7 @@ UNION ALL SELECT 'no_payloads', {_time('event_time')}, level, message FROM lg WH
   max(CASE WHEN kind = 6 THEN cast(regexp_extract(message, 'took ([\\d.]+)ms', 1) AS DOUBLE) END) AS worst_ms
 FROM lg WHERE kind IN (5, 6) GROUP BY 1""",
     "stream_ingest": _with(_TEL, _MESSAGES, _ACCEPTED) + f"SELECT {_TABLE_COLUMNS} FROM acc",
+    "stream_ingest_late": _with(_TEL, _MESSAGES, _ACCEPTED) + f"SELECT {_TABLE_COLUMNS} FROM acc",
     "stream_rejects": _with(_TEL, _MESSAGES) + f"""SELECT partition, "offset", {_time('record_time')} AS record_time,
   {_REASON} AS reject_reason FROM msg WHERE c BETWEEN 0 AND 8""",
     "stream_flushes": _with(_TEL, _MESSAGES) + """SELECT count(*) FILTER (c IN (-1, 9)) AS accepted,

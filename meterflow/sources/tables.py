@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +47,7 @@ def telemetry_between(
 
 
 def telemetry_near(spark: SparkSession, path: str, spans: list[tuple[datetime, datetime]]) -> DataFrame:
-    """Rows of any of the spans (at most some hours each), each row once. Beyond a week of spans only their hours are
-    pruned to."""
+    """Rows of any of the spans (at most some hours each), each row once, pruned to the hours of the spans."""
     hours = {
         int(start.timestamp()) // 3600 + n
         for start, end in spans
@@ -57,10 +55,10 @@ def telemetry_near(spark: SparkSession, path: str, spans: list[tuple[datetime, d
     }
     number = F.unix_date("event_date") * 24 + F.col("event_hour")
     rows = telemetry(spark, path).where(number.isin(sorted(hours)))
-    if len(spans) <= 168:
-        ts = F.col("timestamp")
-        rows = rows.where(reduce(lambda a, b: a | b, [(ts >= F.lit(a)) & (ts < F.lit(b)) for a, b in spans]))
-    return rows
+    # One flat list, as a chain of conditions would nest as deep as there are spans.
+    listed = F.array(*[F.struct(F.lit(a).alias("low"), F.lit(b).alias("high")) for a, b in spans])
+    ts = F.col("timestamp")
+    return rows.where(F.exists(listed, lambda span: (ts >= span["low"]) & (ts < span["high"])))
 
 
 def head(rows: DataFrame, order: list[str], n: int = 10) -> DataFrame:

@@ -45,14 +45,28 @@ class Paths:
     def flushes(self) -> str:
         return f"{self.root}/flushes"
 
+    @property
+    def seen(self) -> str:
+        return f"{self.root}/seen"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
 
-def without_copies(records: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Drop records delivered again; state older than the lateness is forgotten."""
-    return records.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(RECORD_KEY)
+def without_copies(batch: DataFrame, seen: str, batch_id: int) -> DataFrame:
+    """The records of a batch that neither the batch nor an earlier one holds already; their keys go to ``seen``.
+
+    Keys are compared with keys that have landed, never with a clock, so that a record however late is a new record.
+    Of the landed keys only those in the batch's range of offsets are read. A replay leaves out what it wrote itself.
+    """
+    fresh = batch.dropDuplicates(RECORD_KEY)
+    if batch_id > 0:
+        low, high = batch.agg(F.min("offset"), F.max("offset")).first()
+        landed = batch.sparkSession.read.schema("topic string, partition int, offset long, batch long").parquet(seen)
+        landed = landed.where((F.col("batch") < batch_id) & F.col("offset").between(low, high))
+        fresh = fresh.join(landed.select(*RECORD_KEY), RECORD_KEY, "left_anti")
+    return fresh
 
 
 def _verdicts(decoded: DataFrame) -> DataFrame:
@@ -63,10 +77,14 @@ def _verdicts(decoded: DataFrame) -> DataFrame:
     )
 
 
-def _write(paths: Paths, spike_options: dict | None) -> Callable[[DataFrame, int], None]:
+def _write(paths: Paths, spike_options: dict | None, dedup: bool = True) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = _verdicts(decode(batch)).persist()
+        fresh = without_copies(batch, paths.seen, batch_id) if dedup else batch
+        decoded = _verdicts(decode(fresh)).persist()
         try:
+            if dedup:
+                keys = decoded.select(*RECORD_KEY, F.lit(batch_id).cast("long").alias("batch"))
+                keys.write.mode("overwrite").parquet(f"{paths.seen}/batch={batch_id}")
             rows = accepted(decoded)
             write_batch(rows, paths.table, batch_id)
             write_side_batch(rejected(decoded), paths.rejects, batch_id)
@@ -128,12 +146,11 @@ def start_ingest(
 ) -> StreamingQuery:
     """Decode a stream of topic records into the tables, by default once a second.
 
-    A broker read through the checkpoint never brings an offset twice. Without ``dedup`` nothing is shuffled or kept
-    for it; files that may hold a record twice need it.
+    Every distinct record lands or is rejected, however late it is. A broker read through the checkpoint never brings an
+    offset twice. Without ``dedup`` nothing is shuffled or kept for it; files that may hold a record twice need it.
     """
     return (
-        (without_copies(records) if dedup else records)
-        .writeStream.foreachBatch(_write(paths, spike_options))
+        records.writeStream.foreachBatch(_write(paths, spike_options, dedup))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()

@@ -29,7 +29,8 @@ def _analyze(flows: str, state: str, alerts: str | None, port: int) -> Callable[
             if batch_id > 0:
                 known = spark.read.schema("capture_id int, last_ts timestamp").parquet(f"{state}/batch={batch_id - 1}")
                 newest = known.unionByName(newest).groupBy("capture_id").agg(F.max("last_ts").alias("last_ts"))
-            write_side_batch(newest, state, batch_id)
+            # A folder of its own, not a partition: a batch without relevant packets leaves one that can be read.
+            newest.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
 
             gapped = gap_to_previous(packets, ["capture_id"], "ts", "seq")
             if known is not None:

@@ -189,3 +189,35 @@ def test_late_packet_does_not_turn_the_clock_back(spark, tmp_path):
         P.start_packet_analysis(tables.stream_packet_records(spark, source), flows, state, check, trigger=NOW).awaitTermination()
     found = {r.seq: (r.time_delta_seconds, r.alert_reason) for r in spark.read.parquet(flows).collect()}
     assert found == {0: (0.0, ""), 1: (-0.6, ""), 2: (5e-05, N.FLOOD)}
+
+
+def test_late_partitions_land_and_the_ledger_adds_up(spark, tmp_path):
+    source, paths = str(tmp_path / "topic"), ingest.Paths(str(tmp_path / "out"))
+    ahead = records(spark, 0, 60).withColumn("timestamp", F.col("timestamp") + F.expr("interval 5 hours"))
+    behind = records(spark, 0, 60, seed=3).withColumn("topic", F.lit("slow"))
+    for part in (ahead, behind, ahead):
+        publish_files(part.coalesce(1), source)
+        run(spark, source, paths)
+    rejects = spark.read.parquet(paths.rejects).count()
+    ledger = spark.read.parquet(paths.flushes).agg(F.sum("accepted"), F.sum("rejected")).first()
+    assert len(landed(spark, paths)) + rejects == 120
+    assert tuple(ledger) == (len(landed(spark, paths)), rejects)
+
+
+def test_packet_batch_without_relevant_rows(spark, tmp_path):
+    source = str(tmp_path / "packets")
+    other = spark.createDataFrame([], PACKET)
+    other.coalesce(1).write.parquet(source)
+    folders = [str(tmp_path / n) for n in ("flows", "state", "checkpoint")]
+    for _ in range(2):
+        P.start_packet_analysis(tables.stream_packet_records(spark, source), *folders, trigger=NOW).awaitTermination()
+        other.coalesce(1).write.mode("append").parquet(source)
+
+
+@pytest.mark.parametrize("device", ['{"x": 1}', '["q"]', "true", "7"])
+def test_device_id_is_a_text(spark, device):
+    value = json.dumps({"timestamp": START_US / 1e6, "device_id": 0, "metrics": {
+        "voltage_v": 120.0, "current_a": 1.0, "power_kw": 0.1, "power_factor": 0.9}, "security_flag": 0})
+    value = value.replace('"device_id": 0', f'"device_id": {device}')
+    row = spark.createDataFrame([("k", value, "t", 0, 0, DAY)], TOPIC_RECORD)
+    assert D.decode(row).first()["reject_reason"] == "type"
