@@ -131,7 +131,7 @@ def top_k(frame: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
     batches = max(1, -(-counts["asked"] // QUERY_ROWS))
     peak = F.array_max(F.transform("q", lambda x: F.abs(x)))
     term = F.array_position(F.transform("q", lambda x: F.abs(x)), peak)
-    sign = F.when(F.element_at("q", F.greatest(term, F.lit(1)).cast("int")) < 0, -1).otherwise(1)
+    sign = F.when(F.get("q", (term - 1).cast("int")) < 0, -1).otherwise(1)
     ranged = rows.select("id", "uid", "q", F.coalesce(F.expr("if(size(q) = 0, 0, 1)") * sign * term, F.lit(0)).alias("lead"))
     ranged = stored(
         ranged.repartitionByRange(groups, "lead", "id", "uid").sortWithinPartitions("lead", "id", "uid")
