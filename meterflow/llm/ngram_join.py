@@ -340,10 +340,13 @@ def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
     made = chosen.filter("possible").select("text").mapInArrow(read, "node long, size long, bits binary, elements binary")
-    made = stored(made, "sets")
-    # Ids that repeat can bring a node from several tasks; only then do the sets move.
-    twice = made.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    return made if twice.isEmpty() else stored(made.dropDuplicates(["node"]), "sets")
+    made = stored(made.withColumn("uid", F.monotonically_increasing_id()), "sets")
+    # A set can come from several tasks. Of those the first stays; only the numbers of the others are sent around.
+    first = made.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("uid").alias("first")).filter("rows > 1")
+    first = first.select(F.col("node").alias("of"), "first")
+    others = made.select("node", "uid").join(first, F.col("node") == F.col("of")).filter("uid <> first")
+    others = stored(others.select(F.col("uid").alias("other")), "other-sets")
+    return made.join(others, F.col("uid") == F.col("other"), "left_anti").drop("uid")
 
 
 def bitmap(elements: np.ndarray) -> np.ndarray:
