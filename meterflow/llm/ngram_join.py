@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm import dedup
@@ -307,21 +307,34 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _passing(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in the column ``key`` of ``wanted``, and a few others, without a shuffle of the rows.
+
+    They are told by a filter of a size known beforehand.
+    """
+    bits = min(FILTER_BITS, dedup.filter_bits(wanted.count()))
+    slots = wanted.select(F.explode(F.array(*dedup.slots_of(F.col("key"), bits))).alias("slot"))
+    pieces = slots.groupBy(F.bitmap_bucket_number("slot").alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")
+    )
+    flagged = dedup.flag_possible(rows.withColumn("sha", key), stored(pieces, "wanted"), bits)
+    return flagged.filter("possible").drop("possible", "sha")
+
+
+def _elements(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, elements) of the sets that the column ``key`` of ``nodes`` names: joins move no others."""
+    return _passing(sets.select("node", "elements"), F.col("node"), nodes.distinct())
+
+
 def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, size, bits, elements) of the nodes of ``wanted`` (doc_id, node), from a second reading of the texts.
 
     Only documents whose id passes a filter of the wanted ids leave the scan; a few others pass it too. The filter has
     a fixed size.
     """
-    bits = min(FILTER_BITS, dedup.filter_bits(wanted.count()))
     name = F.coalesce(F.col("id").cast("string"), F.lit(""))
-    slots = wanted.select(F.col("doc_id").alias("id")).select(
-        F.explode(F.array(*dedup.slots_of(name, bits))).alias("slot")
-    )
-    pieces = slots.groupBy(F.bitmap_bucket_number("slot").alias("piece")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")
-    )
-    chosen = dedup.flag_possible(frame.select("id", "text", name.alias("sha")), stored(pieces, "wanted"), bits)
+    ids = wanted.select(F.col("doc_id").alias("id")).select(name.alias("key"))
+    chosen = _passing(frame.select("id", "text"), name, ids)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -339,7 +352,7 @@ def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["node", "size", "bits", "elements"]
             )
 
-    made = chosen.filter("possible").select("text").mapInArrow(read, "node long, size long, bits binary, elements binary")
+    made = chosen.select("text").mapInArrow(read, "node long, size long, bits binary, elements binary")
     made = stored(made.withColumn("uid", F.monotonically_increasing_id()), "sets")
     # A set can come from several tasks. Of those the first stays; only the numbers of the others are sent around.
     first = made.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("uid").alias("first")).filter("rows > 1")
@@ -404,7 +417,9 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    both = _with(_with(pairs, "a", sets, ["elements"], "_a"), "b", sets, ["elements"], "_b")
+    pairs = stored(pairs, "pairs")
+    own = _elements(sets, pairs.select(F.explode(F.array("a", "b")).alias("key")))
+    both = _with(_with(pairs, "a", own, ["elements"], "_a"), "b", own, ["elements"], "_b")
     return stored(both.select("a", "b", "elements_a", "elements_b").mapInArrow(check, "a long, b long"), "links")
 
 
@@ -522,7 +537,8 @@ def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
         return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(work, kind), name)
 
     kept = called(_sieve, tasks, sets, ["size", "bits"], TASK, "sieved")
-    return called(_compare, kept, sets, ["elements"], "a long, b long", "links").distinct()
+    own = _elements(sets, kept.select(F.col("node").alias("key")))
+    return called(_compare, kept, own, ["elements"], "a long, b long", "links").distinct()
 
 
 def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
