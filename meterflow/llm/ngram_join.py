@@ -210,14 +210,19 @@ def _sign_partition(buckets: int, frequent):
             yield home, "run", key.to_bytes(8, "little", signed=True), run.tobytes(), b""
         # One entry per signature goes on; the high bit says that others of this batch stand behind it.
         place, value = place[leads].astype(np.uint16), value[leads]
-        place[shared] |= np.uint16(0x8000)
         bucket = (value >> shift).astype(np.int64) * buckets >> 32
-        order = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            chosen = order[bounds[b] : bounds[b + 1]]
-            if len(chosen):
-                yield b, "signed", (value[chosen] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), place[chosen].tobytes(), own.tobytes()
+        order = np.argsort(place, kind="stable")
+        order = order[np.argsort(bucket[order], kind="stable")]
+        place, value, bucket, behind = place[order], value[order], bucket[order], shared[order].astype(np.uint16) << 15
+        # A bucket gets the names of those sets only that sign in it: what is sent grows with the signatures alone.
+        news = np.concatenate([[True], bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, bool)
+        edges = np.flatnonzero(np.append(news, True)).tolist()
+        for start, end in zip(edges[:-1], edges[1:]):
+            mine = place[start:end]
+            names = np.concatenate([[True], mine[1:] != mine[:-1]])
+            at = (np.cumsum(names) - 1).astype(np.uint16) | behind[start:end]
+            low = (value[start:end] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            yield int(bucket[start]), "signed", low.tobytes(), at.tobytes(), own[mine[names]].tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sets, weight = [], [], 0
