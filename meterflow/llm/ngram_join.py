@@ -592,7 +592,8 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     labelled = stored(_labelled(facts, "node", roots, "label"), "labelled")
     least = labelled.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")).select(F.col("label").alias("of_label"), "least")
-    full = labelled.filter("n > 0").join(least, F.col("label") == F.col("of_label"))
+    # Written first, so that the join has plain exchanges on both sides and a large component can be split.
+    full = labelled.filter("n > 0").join(stored(least, "least"), F.col("label") == F.col("of_label"))
     return full.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("least").alias("component_id")).unionAll(
         labelled.filter("n = 0").select(F.col("doc_id").alias(id_col), F.col("n"), F.col("doc_id"))
     )
