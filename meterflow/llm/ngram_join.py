@@ -35,6 +35,8 @@ SAMPLE, RARE, FEWEST = 8, 1000, 5
 BLOCK = 256
 #: Rows of such tasks that one call takes on average.
 CALL_ROWS = 50_000
+#: Words of bitmaps that are compared at a time, and pairs found apart that a call remembers.
+BITMAP_WORDS, REMEMBERED = 1 << 20, 1 << 19
 #: Bits of the filter that picks the texts to read again: its size is fixed, and a fuller filter only passes more texts.
 FILTER_BITS = 1 << 26
 NO_ID = -(1 << 63)
@@ -379,14 +381,19 @@ def _folded(words: np.ndarray, width: int) -> np.ndarray:
     return np.bitwise_or.reduce(words.reshape(-1, width), axis=0)
 
 
-def may_link(sizes: np.ndarray, maps: list[np.ndarray], size: int, words: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """For one set against several: false only where they cannot be linked.
+def may_link(sizes: np.ndarray, maps: list[np.ndarray], other_sizes: np.ndarray, other_maps: list[np.ndarray],
+             percent: int = PERCENT) -> np.ndarray:
+    """For several sets (rows) against others (columns): false only where they cannot be linked.
 
     Every bit that differs stands for an element that differs, and linked sets differ in few.
     """
-    width = min([len(words), *map(len, maps)])
-    both = np.array([_folded(m, width) for m in maps]).reshape(len(maps), width) ^ _folded(words, width)[None, :]
-    return np.bitwise_count(both).sum(axis=1) * (100 + percent) <= (sizes + size) * (100 - percent)
+    width = min(map(len, [*maps, *other_maps]))
+    left, right = (np.array([m if len(m) == width else _folded(m, width) for m in ms]) for ms in (maps, other_maps))
+    differ = np.empty((len(left), len(right)), np.int64)
+    step = max(1, BITMAP_WORDS // right.size)
+    for n in range(0, len(left), step):
+        differ[n : n + step] = np.bitwise_count(left[n : n + step, None, :] ^ right[None, :, :]).sum(axis=2)
+    return differ * (100 + percent) <= (sizes[:, None] + other_sizes[None, :]) * (100 - percent)
 
 
 def _with(frame: DataFrame, node: str, other: DataFrame, columns: list[str], suffix: str) -> DataFrame:
@@ -401,7 +408,7 @@ def _possible(edges: DataFrame, maps: DataFrame) -> DataFrame:
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in range(3, 7)]
             keep = [
-                bool(may_link(np.array([m]), [np.frombuffer(y, np.uint64)], n, np.frombuffer(x, np.uint64))[0])
+                bool(may_link(np.array([n]), [np.frombuffer(x, np.uint64)], np.array([m]), [np.frombuffer(y, np.uint64)])[0, 0])
                 for n, x, m, y in zip(*columns)
             ]
             yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
@@ -449,20 +456,16 @@ def _tasks(table: pa.Table) -> Iterator[tuple[int, int, int, list[tuple]]]:
             start = end
 
 
-def _partners(rows: list[tuple], i: int, j: int, seen: set, sizes: dict, maps: dict) -> Iterator[tuple[tuple, list[tuple]]]:
-    """For each member of block i the members of block j that may link with it, unless this call had the two before."""
-    right = [r for r in rows if r[0] == j]
-    for n, row in enumerate(r for r in rows if r[0] == i):
-        _, node, label = row
-        others = []
-        for other in right[n + 1 :] if i == j else right:
-            pair = (node, other[1]) if node < other[1] else (other[1], node)
-            if other[2] != label and pair not in seen:
-                seen.add(pair)
-                others.append(other)
-        if others:
-            may = may_link(np.array([sizes[o[1]] for o in others]), [maps[o[1]] for o in others], sizes[node], maps[node])
-            yield row, [o for o, m in zip(others, may.tolist()) if m]
+def _may(rows: list[tuple], i: int, j: int, sizes: dict, maps: dict) -> tuple[list[tuple], list[tuple], np.ndarray]:
+    """Members of block i, members of block j, and which of them may link that are not in one component already."""
+    left, right = ([r for r in rows if r[0] == block] for block in (i, j))
+    may = np.array([r[2] for r in left])[:, None] != np.array([r[2] for r in right])[None, :]
+    if i == j:
+        may = np.triu(may, 1)
+    if may.any():
+        (a, x), (b, y) = ((np.array([sizes[r[1]] for r in side]), [maps[r[1]] for r in side]) for side in (left, right))
+        may &= may_link(a, x, b, y)
+    return left, right, may
 
 
 def _sieve(tasks: pa.Table, nodes: pa.Table) -> pa.Table:
@@ -470,12 +473,10 @@ def _sieve(tasks: pa.Table, nodes: pa.Table) -> pa.Table:
     ids = nodes.column("name").to_pylist()
     sizes = dict(zip(ids, nodes.column("size").to_pylist()))
     maps = {n: np.frombuffer(w, np.uint64) for n, w in zip(ids, nodes.column("bits").to_pylist())}
-    call, made, seen = tasks.column("call")[0].as_py() if len(tasks) else 0, [], set()
+    call, made = tasks.column("call")[0].as_py() if len(tasks) else 0, []
     for key, i, j, rows in _tasks(tasks):
-        keep = set()
-        for row, others in _partners(rows, i, j, seen, sizes, maps):
-            if others:
-                keep.update((row, *others))
+        left, right, may = _may(rows, i, j, sizes, maps)
+        keep = {left[n] for n in np.flatnonzero(may.any(axis=1))} | {right[n] for n in np.flatnonzero(may.any(axis=0))}
         made.extend((call, key, i, j, *row) for row in sorted(keep))
     names = ["call", "key", "i", "j", "block", "node", "label"]
     types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
@@ -493,14 +494,18 @@ def _compare(tasks: pa.Table, nodes: pa.Table) -> pa.Table:
             x = parent[x]
         return x
 
-    made, seen = [], set()
+    made, apart = [], set()
     for _, i, j, rows in _tasks(tasks):
-        for (_, node, label), others in _partners(rows, i, j, seen, sizes, maps):
-            for _, other, other_label in others:
-                one, two = find(label), find(other_label)
-                if one != two and linked(own[node], own[other]):
+        left, right, may = _may(rows, i, j, sizes, maps)
+        for n, m in np.argwhere(may).tolist():
+            (_, node, label), (_, other, other_label) = left[n], right[m]
+            one, two, pair = find(label), find(other_label), (min(node, other), max(node, other))
+            if one != two and pair not in apart:
+                if linked(own[node], own[other]):
                     parent[two] = one
                     made.append((node, other))
+                elif len(apart) < REMEMBERED:  # a pair that is not remembered is only compared again
+                    apart.add(pair)
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", list(zip(*made)) or [[], []])})
 
 
