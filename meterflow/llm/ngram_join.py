@@ -25,8 +25,8 @@ PERCENT = 80
 PARTS = 3
 SPARE = 1
 #: Signatures that a task sorts at a time, on average, and shingles of the documents that a task signs at a time.
-BUCKET_SIGNATURES = 1_000_000
-BATCH_SHINGLES = 500_000
+BUCKET_SIGNATURES = 2_000_000
+BATCH_SHINGLES = 1_000_000
 BATCH_ROWS = 4096
 #: One document in so many is read beforehand for the shingles that are frequent: in at least one document of RARE, and
 #: in FEWEST of those read. What is frequent decides which signatures are worth sending, never which pairs are found.
@@ -34,7 +34,7 @@ SAMPLE, RARE, FEWEST = 8, 1000, 5
 #: Members that one verification task compares with as many others.
 BLOCK = 256
 #: Rows of such tasks that one call takes on average.
-CALL_ROWS = 25_000
+CALL_ROWS = 50_000
 #: Words of bitmaps that are compared at a time, and pairs found apart that a call remembers.
 BITMAP_WORDS, REMEMBERED = 1 << 20, 1 << 19
 #: Bits of the filter that picks the texts to read again: its size is fixed, and a fuller filter only passes more texts.
