@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -109,8 +109,9 @@ class Lattice:
         return out
 
 
-def expected(word: str, pieces: dict[str, float], unknown: float, longest: int) -> Iterator[tuple[str, float]]:
+def expected(word: str, lattice: Lattice, language: int) -> Iterator[tuple[str, float]]:
     """How often each piece is used in a word of ordinary length, averaged over its segmentations in one language."""
+    pieces, unknown, longest = lattice.pieces, lattice.unknown, lattice.longest
     size, get = len(word), pieces.get
     forward, arcs = [1.0] + [0.0] * size, []
     for end in range(1, size + 1):
@@ -121,6 +122,7 @@ def expected(word: str, pieces: dict[str, float], unknown: float, longest: int)
                 if start < end - 1:
                     continue
                 p = unknown
+            p = p[language]
             through = forward[start] * p
             total += through
             arcs.append((start, end, p, through))
@@ -173,14 +175,12 @@ def fit(rows: DataFrame, vocabulary_path: str, fit_rows: int = FIT_ROWS, rounds:
 
         def expect(batches: Iterator[pd.DataFrame], current=current) -> Iterator[pd.DataFrame]:
             sums: dict[tuple[str, str], float] = {}
-            own = {lang: {p: v[n] for p, v in current.pieces.items()} for lang, n in place.items()}
             for batch in batches:
                 for lang, word, n in zip(batch["lang"], batch["word"], batch["n"]):
-                    chances, unknown = own[lang], current.unknown[place[lang]]
                     # Parts of a long word are words of their own here, so that no sum vanishes.
                     for cut in range(0, len(word) + 1, PART):
-                        for piece, share in expected(("▁" + word)[cut : cut + PART], chances, unknown, current.longest):
-                            key = (lang, piece if piece in chances else "")
+                        for piece, share in expected(("▁" + word)[cut : cut + PART], current, place[lang]):
+                            key = (lang, piece if piece in current.pieces else "")
                             sums[key] = sums.get(key, 0.0) + n * share
             yield pd.DataFrame([(a, b, c) for (a, b), c in sums.items()], columns=["lang", "piece", "n"])
 
@@ -203,6 +203,13 @@ def predict(frame: DataFrame, languages: list[str], lattice: Lattice, id_col: st
     texts without a letter are ``und`` with score 0, and so is every text if nothing was learned. Of equally likely
     languages the first by name is taken. Rows are scored one by one, repeated ids included.
     """
+    narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    return _scored(narrow, lambda batch: batch.column(1), languages, lattice)
+
+
+def _scored(frame: DataFrame, texts: Callable[[pa.RecordBatch], pa.Array], languages: list[str], lattice: Lattice) -> DataFrame:
+    """The first column with ``lang_pred`` and ``score`` of the texts that ``texts`` takes from a batch."""
+    first = frame.schema[0]
     model = frame.sparkSession.sparkContext.broadcast((lattice.pieces, lattice.unknown))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,19 +253,18 @@ def predict(frame: DataFrame, languages: list[str], lattice: Lattice, id_col: st
 
         for batch in batches:
             found = []
-            for group in grouped(batch.column(1).to_pylist()):
+            for group in grouped(texts(batch).to_pylist()):
                 if len(group) > 1 or len(group[0]) <= REMEMBERED // 2:
                     remember(set().union(*group))
                 found.extend(map(judged, group))
             best, sure = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(best, pa.string()), pa.array(sure, pa.float64())],
-                names=[id_col, "lang_pred", "score"],
+                names=[name, "lang_pred", "score"],
             )
 
-    narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    kind = narrow.schema[0].dataType.simpleString()
-    return narrow.mapInArrow(score, f"`{id_col}` {kind}, lang_pred string, score double")
+    name = first.name
+    return frame.mapInArrow(score, f"`{name}` {first.dataType.simpleString()}, lang_pred string, score double")
 
 
 def learn(frame: DataFrame, vocabulary_path: str, trains: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -273,6 +279,7 @@ def learn(frame: DataFrame, vocabulary_path: str, trains: Column, id_col: str =
 def label(frame: DataFrame, languages: list[str], lattice: Lattice, text_col: str = "text") -> DataFrame:
     """The rows of ``frame`` with ``lang_pred`` and ``lang_score`` added, in one pass and without a join."""
     names = [c for c in frame.columns if c not in ("lang_pred", "lang_score")]
-    whole = frame.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    scored = predict(whole, languages, lattice, "row", "text")
+    whole = frame.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    at = names.index(text_col)
+    scored = _scored(whole, lambda batch: batch.column(0).field(at), languages, lattice)
     return scored.select("row.*", "lang_pred", F.col("score").alias("lang_score"))

@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +76,44 @@ def test_canonical_licences(spark):
     frame = rows(spark, [(1, "RELEASED under the M.I.T"), (2, "  released under the mit LICENCE\n"), (3, "x\nAll rights reserved.\ny")])
     got = {r.doc_id: (r.license, r.line_licenses) for r in licenses.scan(frame).collect()}
     assert got == {1: (None, ""), 2: ("MIT", "MIT"), 3: (None, "proprietary")}
+
+
+def test_labels_are_the_predictions(spark):
+    frame = rows(spark, [*TEXTS, *[(n, f"the house number {n} of the street") for n in range(10, 40)]])
+    model = langid.learn(frame, public_tokenizers.path("piece_bpe_32k.model"), F.lit(True))
+    named = langid.label(frame, *model)
+    assert named.columns == [*frame.columns, "lang_pred", "lang_score"]
+    got = sorted(map(str, named.select("doc_id", "lang_pred", F.col("lang_score").alias("score")).collect()))
+    assert got == sorted(map(str, langid.predict(frame, *model).collect()))
+
+
+def test_rest_of_a_run_against_all_pairs():
+    pick, sets = np.random.default_rng(1), {}
+    for size in (40, 45, 300, 310):
+        whole = pick.integers(0, 1 << 63, size=size).astype(np.uint64)
+        for _ in range(25):
+            other, changed = whole.copy(), pick.integers(0, size // 6 + 1)
+            other[:changed] = pick.integers(0, 1 << 63, size=changed).astype(np.uint64)
+            sets[ngram_join.node_of(np.unique(other))] = np.unique(other)
+    tasks = [(0, key, i, j, node % 2, node, node) for key in (1, 2) for i, j in ((0, 0), (0, 1), (1, 1))
+             for node in sets if node % 2 in (i, j)]
+    tasks = pa.table(dict(zip(("call", "key", "i", "j", "block", "node", "label"), map(pa.array, zip(*tasks)))))
+    nodes = pa.table({
+        "name": list(sets), "size": [len(s) for s in sets.values()],
+        "bits": [ngram_join.bitmap(s).tobytes() for s in sets.values()], "elements": [s.tobytes() for s in sets.values()]})
+    found = ngram_join._compare(ngram_join._sieve(tasks, nodes), nodes)
+
+    def classes(pairs):
+        root = {n: n for n in sets}
+
+        def find(n):
+            while root[n] != n:
+                n = root[n]
+            return n
+
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return {n: find(n) for n in sets}
+
+    everything = [(a, b) for a in sets for b in sets if a < b and ngram_join.linked(sets[a], sets[b])]
+    assert classes(zip(found["a"].to_pylist(), found["b"].to_pylist())) == classes(everything)
