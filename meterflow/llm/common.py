@@ -14,12 +14,20 @@ from meterflow.session import scratch_path
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of a batch on its way to or from a Python worker. Both sides hold some of them outside the heap.
+BATCH_BYTES = 4 << 20
+
 
 def ship(module: str) -> None:
     """Send a module's functions to the Python workers by value: executors need not have the package installed."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the session's Arrow batches: by default a batch of long texts takes 64 MB on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read again: lineage is cut and survives lost executors."""
     path = scratch_path(frame.sparkSession, name)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, stored
+from meterflow.llm.common import ship, small_batches, stored
 
 ship(__name__)
 
@@ -164,6 +164,7 @@ def fit(rows: DataFrame, vocabulary_path: str, fit_rows: int = FIT_ROWS, rounds:
 
     ``rows`` has ``id``, ``text`` and ``lang``. The driver holds one number per piece and language.
     """
+    small_batches(rows.sparkSession)
     words = stored(_learned(rows, fit_rows), "language-words")
     languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     place = {lang: n for n, lang in enumerate(languages)}
@@ -209,6 +210,7 @@ def predict(frame: DataFrame, languages: list[str], lattice: Lattice, id_col: st
 
 def _scored(frame: DataFrame, texts: Callable[[pa.RecordBatch], pa.Array], languages: list[str], lattice: Lattice) -> DataFrame:
     """The first column with ``lang_pred`` and ``score`` of the texts that ``texts`` takes from a batch."""
+    small_batches(frame.sparkSession)
     first = frame.schema[0]
     model = frame.sparkSession.sparkContext.broadcast((lattice.pieces, lattice.unknown))
 

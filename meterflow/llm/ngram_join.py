@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm import dedup
-from meterflow.llm.common import ship, stored
+from meterflow.llm.common import ship, small_batches, stored
 from meterflow.llm.components import components
 
 ship(__name__)
@@ -158,14 +158,23 @@ def isin_sorted(values: np.ndarray, members: np.ndarray) -> np.ndarray:
 def frequent_shingles(rows: DataFrame) -> np.ndarray:
     """Sorted hashes of the shingles in at least one of ``RARE`` documents: at most RARE times the mean set."""
 
+    def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
+        values, times = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
+        keep = times > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values[keep].view(np.int64)), pa.array(times[keep].astype(np.int64))], names=["shingle", "n"]
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, weight = [], 0
         for batch in batches:
-            sets = [shingles(text) for text in batch.column(0).to_pylist()]
-            values, times = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
-            keep = times > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[keep].view(np.int64)), pa.array(times[keep].astype(np.int64))], names=["shingle", "n"]
-            )
+            for text in batch.column(0).to_pylist():
+                sets.append(shingles(text))
+                weight += len(sets[-1])
+                if weight >= BATCH_SHINGLES:
+                    yield counted(sets)
+                    sets, weight = [], 0
+        yield counted(sets)
 
     read = rows.filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
     least = max(FEWEST, read.count() // RARE)
@@ -565,6 +574,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     so that a signature of very many documents brings one entry per batch. The nodes of a run are compared with its
     first; only where that leaves a run in several components are the members compared with each other, block by block.
     """
+    small_batches(frame.sparkSession)
     rows = frame.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     letters = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About six bytes a word, one shingle a word, one signature a shingle.

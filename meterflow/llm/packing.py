@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship
+from meterflow.llm.common import ship, small_batches
 
 ship(__name__)
 
@@ -160,6 +160,7 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
     table gives no rows. Sequence ids are unique but not gapless; they follow the input's partitions, so that a task
     that is run again gives the same.
     """
+    small_batches(frame.sparkSession)
     piece = max(1, capacity // CUT)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
