@@ -18,7 +18,7 @@ from meterflow.sinks import rollup as materialized
 from meterflow.sinks import table as telemetry_sink
 from meterflow.sinks.topic import publish_files
 from meterflow.sources import adapters, tables, topic
-from meterflow.streaming import aggregates, ingest
+from meterflow.streaming import aggregates, correlation, ingest
 from meterflow.streaming import packets as packet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,14 +491,16 @@ def _side_table(spark: SparkSession, stream: DataFrame, keys: list[str]) -> Data
 
 
 def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Voltage alerts and oversized packets of one stream, as alert rows."""
+    """Voltage alerts, oversized packets and floods of one stream, as alert rows: the alerts that the packet analysis
+    lands are streamed on."""
+    root = scratch_path(spark, "stream")
     flat = adapters.readings_of(adapters.events_stream(spark, sf_dir))
-    telemetry = decode.voltage_alerts(flat)
-    # The size rule needs no earlier packet; floods are found by the packet analysis.
-    sized = network.describe(
-        network.relevant(adapters.packets_of(flat)).withColumn("gap_sec", F.lit(0.0)), "capture_id", "ts", "seq"
-    )
-    return correlate.union_alerts(telemetry, network.network_alerts(sized))
+    packet_stream.start_packet_analysis(
+        adapters.packets_of(flat), f"{root}/flows", f"{root}/state", f"{root}/checkpoint", f"{root}/alerts",
+        trigger=AVAILABLE_NOW,
+    ).awaitTermination()
+    landed = f"{correlation.LANDED.removesuffix(', uid long')}, batch long"
+    return correlate.union_alerts(decode.voltage_alerts(flat), spark.readStream.schema(landed).parquet(f"{root}/alerts"))
 
 
 @registered
@@ -604,6 +606,22 @@ def stream_coincident_alerts(spark, sf_dir):
     return plain(_side_table(spark, found, ["window_start", "window_end"]))
 
 
+@registered
+def stream_alert_correlation(spark, sf_dir):
+    """Alerts land in three batches dealt by hash, so that each brings late ones; a restart before each batch."""
+    root = scratch_path(spark, "stream")
+    alerts = _alerts(spark, sf_dir)
+    for part in range(3):
+        dealt = F.pmod(F.xxhash64("alert_time", "source", "subject"), F.lit(3)) == part
+        alerts.where(dealt).write.mode("append").parquet(f"{root}/alerts")
+        stream = spark.readStream.schema(alerts.schema).parquet(f"{root}/alerts")
+        correlation.start_correlation(
+            stream, f"{root}/landed", f"{root}/changes", f"{root}/checkpoint", trigger=AVAILABLE_NOW
+        ).awaitTermination()
+    found = correlation.correlated(spark, f"{root}/changes")
+    return plain(found.select("alert_time", "subject", "value", "network_alerts", "last_network_alert", "lead_sec"))
+
+
 @registered
 def stream_enrich(spark, sf_dir):
     """A stream joined with the static device dimension."""

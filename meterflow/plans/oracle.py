@@ -151,10 +151,7 @@ _SPIKE_FRAME = """(PARTITION BY device_id ORDER BY timestamp
     RANGE BETWEEN INTERVAL 10 SECONDS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"""
 
 # Alerts that need no earlier packet, as the alert streams carry them.
-_SIZED = """
-sal AS (
-  SELECT alert_time, source, reason FROM va
-  UNION ALL SELECT ts, 'network', 'Oversized Payload Detected' FROM rel WHERE packet_size_bytes > 1500)"""
+
 
 ORACLES: dict[str, str] = {
     "rollup_5min": _with(_TEL, _STORED) + _rollup("sto"),
@@ -331,10 +328,8 @@ FROM lg WHERE kind IN (5, 6) GROUP BY 1""",
     - to_seconds(unnest(range(10))) AS ws FROM tel)
 SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 10 SECONDS')} AS window_end, device_id, count(*) AS readings,
   {_mean("avg(voltage_v)")} AS rolling_voltage, round(stddev_samp(voltage_v), 6) AS rolling_sd FROM s GROUP BY ws, device_id""",
-    "stream_alert_counts": _with(_TEL, _PACKETS, _V_ALERT, _SIZED) + f"""SELECT {_time(_BUCKET.format('alert_time'))} AS bucket,
-  source, reason, count(*) AS alerts FROM sal GROUP BY 1, 2, 3""",
-    "stream_coincident_alerts": _with(_TEL, _PACKETS, _V_ALERT, _SIZED) + f""", s AS (
-  SELECT *, time_bucket(INTERVAL '5 seconds', alert_time) - to_seconds(5 * unnest(range(6))) AS ws FROM sal),
+    "stream_coincident_alerts": _with(_TEL, _ALERTS) + f""", s AS (
+  SELECT *, time_bucket(INTERVAL '5 seconds', alert_time) - to_seconds(5 * unnest(range(6))) AS ws FROM al),
 w AS (SELECT ws, count(*) FILTER (source = 'network') AS network_alerts, count(*) FILTER (source = 'telemetry') AS telemetry_alerts,
     min(alert_time) FILTER (source = 'network') AS fn, max(alert_time) FILTER (source = 'telemetry') AS lt FROM s GROUP BY ws)
 SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 30 SECONDS')} AS window_end, network_alerts, telemetry_alerts,
@@ -349,6 +344,8 @@ SELECT event_id, device_id, voltage_v, current_a FROM l
 WHERE current_a < ea * 0.7::DOUBLE - 1.5 OR current_a > ea * 1.5::DOUBLE + 1.5
   OR voltage_v < 120 - ea * 1.5::DOUBLE / 30 * 1.5::DOUBLE - 0.9::DOUBLE
   OR voltage_v > 120 - ea * 0.7::DOUBLE / 30 * 1.5::DOUBLE + 0.9::DOUBLE"""
+ORACLES["stream_alert_counts"] = ORACLES["alert_counts"]
+ORACLES["stream_alert_correlation"] = ORACLES["alert_correlation"]
 ORACLES["stream_throughput"] = ORACLES["throughput_5s"]
 ORACLES["stream_log_levels"] = ORACLES["log_levels"]
 ORACLES["stream_enrich"] = ORACLES["device_enrich"]
