@@ -615,8 +615,21 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_near_copies(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``frame`` but those whose component has a smaller id; ids should be unique. Null ids stay."""
-    copies = near_duplicates(frame, id_col, text_col).filter(F.col(id_col) != F.col("component_id"))
-    copies = stored(copies.select(F.col(id_col).alias("__copy")).distinct(), "near-copies")
-    rows = frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"), F.col(f"`{id_col}`").alias("__id"))
-    return rows.join(copies, F.col("__id") == F.col("__copy"), "left_anti").select("row.*")
+    """The rows of ``frame`` but one per group of near copies, that with the smallest id; null ids come last.
+
+    Rows are numbered once in a written table and told by that number, never by their id: repeated ids are rows of their
+    own, and of equal or null ids the first row stays. Rows without words are in no group and stay.
+    """
+    rows = frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"), F.monotonically_increasing_id().alias("number"))
+    rows = stored(rows, "numbered")
+    texts = rows.select("number", F.col("row").getField(text_col).alias("text"))
+    copies = stored(near_duplicates(texts, "number", "text").filter(F.col("number") != F.col("component_id")).select(
+        F.col("number").alias("copy"), "component_id"), "near-copies")
+    # Every row of a group of at least two: the copies, and the row that the group is named by.
+    members = copies.unionAll(copies.select("component_id", "component_id").distinct())
+    ids = rows.select("number", F.col("row").getField(id_col).alias("id"))
+    members = stored(members.join(ids, F.col("copy") == F.col("number")).select("number", "id", "component_id"), "near-groups")
+    kept = members.groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).getField("number").alias("kept"))
+    gone = members.select(F.col("number").alias("gone")).join(kept, F.col("gone") == F.col("kept"), "left_anti")
+    return rows.join(gone, F.col("number") == F.col("gone"), "left_anti").select("row.*")

@@ -117,3 +117,20 @@ def test_rest_of_a_run_against_all_pairs():
 
     everything = [(a, b) for a in sets for b in sets if a < b and ngram_join.linked(sets[a], sets[b])]
     assert classes(zip(found["a"].to_pylist(), found["b"].to_pylist())) == classes(everything)
+
+
+def test_one_near_copy_stays_whatever_the_ids(spark):
+    words = [f"w{n}" for n in range(60)]
+    near = lambda n, head="": " ".join([head, *words[:-1], f"end{n}"]).strip()
+    other = lambda n: " ".join(f"v{n}x{k}" for k in range(30))
+    third = lambda n: " ".join([*(f"t{k}" for k in range(60)), f"end{n}"])
+    fourth = lambda n: " ".join([*(f"f{k}" for k in range(60)), f"end{n}"])
+    given = [
+        (5, near(1)), (7, near(2)), (7, other(1)), (None, near(3)), (None, other(2)),  # a clean text shares an id with a copy
+        (2, third(1)), (2, third(2)), (None, fourth(1)), (None, fourth(2)), (None, None), (None, ""), (9, None),
+    ]
+    got = [(r.doc_id, r.text) for r in ngram_join.drop_near_copies(rows(spark, given)).collect()]
+    fixed = [(5, near(1)), (7, other(1)), (None, other(2)), (None, None), (None, ""), (9, None)]
+    rest = [r for r in got if r not in fixed]
+    assert sorted(map(str, got)) == sorted(map(str, fixed + rest)) and len(rest) == 2
+    assert sum(r in [(2, third(1)), (2, third(2))] for r in rest) == 1 and sum(r in [(None, fourth(1)), (None, fourth(2))] for r in rest) == 1
