@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,10 +70,38 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution."""),
 )
 
+#: Whole licences that are files, by SPDX name. BSD texts also come with a line on rights.
+FILES = ("Apache-2.0", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense")
+WHOLE = {name: (Path(__file__).parent / "texts" / f"{name}.txt").read_text() for name in FILES}
+NOTICES += tuple(WHOLE.items()) + tuple(
+    (name, f"All rights reserved.\n{body}") for name, body in [*NOTICES, *WHOLE.items()] if name.startswith("BSD-") and len(body) > 999
+)
+
+#: Words that follow "copyright" in prose, and words that no name after a bare (c) holds.
+PROSE = (
+    "a|about|agreements?|an|and|any|are|applies|as|at|be|because|but|can|claims?|disclaimers?|doctrines?|does|exceptions?|for|from|grants?|has|have|"
+    "holders?|if|in|infringements?|interests?|is|issues?|it|its|laws?|legislation|licen[cs]es?|lines?|may|must|nor|not|notices?|of|on|or|"
+    "owners?|ownership|patents?|permissions?|protection|protects|rights?|rules|shall|should|statements?|status|such|terms?|than|that|"
+    "the(?=[ \\t]*$)|the[ \\t]+(?:software|works?|program|library|document|materials?|code)|this|to|trademarks?|treat(?:y|ies)|under|was|were|which|who|"
+    "will|with|without|you|your"
+)
+FUNCTION = "a|all|an|any|are|as|at|be|do|does|each|every|for|from|has|have|if|in|is|it|its|may|must|no|not|of|on|or|shall|such|that|the|their|this|to|under|use|was|when|where|which|will|with|you|your"
+#: A lower-cased line that is a copyright notice: the word or a sign before a year or a placeholder, both or © before
+#: anything, the word before a name, or a bare (c) before a short name that ends the line.
+MARKS = r"(?:copyright|©|\(c\))"
+NOTICE_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:"
+    rf"(?:{MARKS}[ \t:,-]*){{1,4}}(?:by[ \t]+)?(?:\d{{4}}(?!\d)|[<\[{{$%]|(?:year|yyyy)\b)"
+    r"|(?:copyright[ \t:]*(?:©|\(c\))|\(c\)[ \t]*copyright\b|©)[ \t:,-]*[\p{L}\p{N}]"
+    rf"|copyright[ \t:]+(?:by[ \t]+)?(?!(?:{PROSE})\b)[\p{{L}}\p{{N}}]"
+    rf"|\(c\)[ \t]+(?:(?!(?:{FUNCTION})\b)[^\s,;]++[ \t,;]*+){{1,6}}+(?:all rights reserved[^\n]*)?$"
+    r")[^\n]*$"
+)
+
 
 def canonical(text: Column) -> Column:
-    """Lower case; copyright lines gone; everything but letters and digits one space; equivalent spellings replaced."""
-    text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?m)^[^\p{L}\p{N}\n]*(copyright|©|\(c\))[^\n]*$", " ")
+    """Lower case; copyright notices (whole lines, not prose on copyright) gone; everything but letters and digits one space; equivalent spellings replaced."""
+    text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE_LINE, " ")
     text = F.concat(F.lit(" "), F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     for one, other in SPELLINGS:
         text = F.replace(text, F.lit(f" {one} "), F.lit(f" {other} "))
@@ -86,6 +118,29 @@ def known(spark: SparkSession, notices=NOTICES) -> DataFrame:
     return rows.select(digest(F.col("body")).alias("known_digest"), "name").groupBy("known_digest").agg(F.min("name").alias("license"))
 
 
+def origins(word: str) -> frozenset[str]:
+    """Of every spelling that ``word`` of a canonical text may come from, a word that the lower-cased text then holds."""
+    found = {word}
+    for one, other in reversed(SPELLINGS):
+        if found & set(other.split()):
+            found.add(max(one.split(), key=len))
+    return frozenset(found)
+
+
+def hints(texts: list[str]) -> list[str] | None:
+    """Parts of which every lower-cased line with one of these canonical texts holds one; none if a text has no word."""
+    found: set[str] = set()
+    left = [{origins(w) for w in text.split()} for text in texts]
+    while left:
+        left = [words for words in left if not any(all(any(h in o for h in found) for o in w) for w in words)]
+        if not all(left):
+            return None
+        if left:
+            seen = [w for words in left for w in words]
+            found |= max(set(seen), key=lambda w: (min(map(len, w)) >= 6, sum(any(w <= x for x in words) for words in left), min(map(len, w)), sorted(w)))
+    return sorted(found)
+
+
 def scan(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices=NOTICES) -> DataFrame:
     """One row per document: id, ``text_digest``, ``license`` of the entire text, and ``line_licenses``.
 
@@ -94,16 +149,21 @@ def scan(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", notic
     and empty texts have the digest of the empty text and no licence; repeated rows are scanned each; an empty table
     gives no rows.
 
-    The known texts are a parameter with a size fixed in the code, so they are sent to all tasks. Only lines no longer
-    than the longest known text and with its first letters are digested, which spares the others nothing but work.
+    The known texts are a parameter with a size fixed in the code, so they are sent to all tasks. Only lines that hold a
+    part of which every known text holds one are digested, which spares the others nothing but work.
     """
     spark = frame.sparkSession
     table = known(spark, notices)
     text = F.col(f"`{text_col}`")
     pairs = [(r["known_digest"], r["license"]) for r in table.collect()]
     names = F.create_map(*[F.lit(x) for pair in sorted(pairs) for x in pair])
-    # A line that is a known text holds one of the words that all of them hold one of.
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: line.rlike(HINT))
+    lines = F.split(F.lower(F.coalesce(text, F.lit(""))), "\n")
+    if not pairs:
+        names = F.create_map(F.lit(""), F.lit(None).cast("string"))
+    parts = hints([r["body"] for r in spark.createDataFrame(list(notices), "name string, body string").select(
+        canonical(F.col("body")).alias("body")).distinct().collect()])
+    if parts:
+        lines = F.filter(lines, lambda line: reduce(or_, [F.contains(line, F.lit(h)) for h in parts]))
     found = F.filter(F.transform(lines, lambda line: F.element_at(names, digest(line))), lambda name: name.isNotNull())
     rows = frame.select(
         F.col(f"`{id_col}`").alias(id_col), digest(text).alias("text_digest"),
@@ -112,7 +172,3 @@ def scan(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", notic
     return rows.join(F.broadcast(table), F.col("text_digest") == F.col("known_digest"), "left").select(
         id_col, "text_digest", "license", "line_licenses"
     )
-
-
-#: Every known text has a word that begins like this in its canonical form.
-HINT = r"(?i)licen|rights|permi|waived|redistribution"

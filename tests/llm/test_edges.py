@@ -1,5 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import re
+import textwrap
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -134,3 +137,28 @@ def test_one_near_copy_stays_whatever_the_ids(spark):
     rest = [r for r in got if r not in fixed]
     assert sorted(map(str, got)) == sorted(map(str, fixed + rest)) and len(rest) == 2
     assert sum(r in [(2, third(1)), (2, third(2))] for r in rest) == 1 and sum(r in [(None, fourth(1)), (None, fourth(2))] for r in rest) == 1
+
+
+def test_wrapped_licences_and_their_notices(spark):
+    whole = [(name, body) for name, body in licenses.NOTICES if len(body) > 600]
+    assert {"Apache-2.0", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "ISC", "MIT"} <= {n for n, _ in whole}
+    texts, expected = [], {}
+    for name, body in whole:
+        parts = re.split(r"\n\s*\n", body)
+        is_notice = lambda p: re.search(r"(?i)copyright (\(c\)|\[|<|\d)", p)
+        forms = ["\n\n".join(p if is_notice(p) else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in parts)
+                 for width in range(30, 90, 7)]
+        forms += ["\n\n".join(p if is_notice(p) else re.sub(r"\s+(?=copyright)", "\n", p, flags=re.I) for p in parts)]
+        forms += [f"{head}\n{body}" for head in ("Copyright (c) 2019 Some One", "Copyright Some One", "// Copyright 2020, x", "© acme", "(c) Some One")]
+        for form in forms:
+            expected[len(texts)] = name
+            texts.append((len(texts), form))
+    got = {r.doc_id: r.license for r in licenses.scan(rows(spark, texts)).collect()}
+    assert {n: (expected[n], got[n]) for n in got if got[n] != expected[n]} == {}
+
+
+def test_notices_that_are_passed_in(spark):
+    notices = (("X", "Take it and run."), ("Y", "The licence of noncommercial favour"))
+    frame = rows(spark, [(1, "a\nTAKE it, and run!\nb"), (2, "a\nthe license of non commercial favor\nb"), (3, "Copyright law is long\nrun.")])
+    got = {r.doc_id: r.line_licenses for r in licenses.scan(frame, notices=notices).collect()}
+    assert got == {1: "X", 2: "Y", 3: ""} and [r.line_licenses for r in licenses.scan(frame, notices=()).collect()] == [""] * 3
