@@ -23,13 +23,14 @@ FIT_ROWS = 3000
 #: Shortest and longest stem, occurrences of insults that a toxic text is expected to have, and the most stems tried.
 STEM = (4, 12)
 COVER = 2
-TRIED = 4000
-#: Share of the toxic texts that a stem has to add.
-GAIN = 0.003
+TRIED = 8000
+#: Rounds in which stems are chosen, the surest first: how many times a stem's share of the clean texts its share of the
+#: toxic ones has to be, toxic texts that a clean one outweighs, and the share of the toxic texts that a stem has to add.
+#: Occurrences that are negated or reported do not count.
+ROUNDS = ((50, 5, 0.003), (50, 5, 0.001), (12, 3, 0.001), (4, 2, 0.001))
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 CLAUSE_ENDS = ".!?;\n"
-#: Characters on either side of a hit that are searched for the ends of its clause.
-REACH = 200
+CLAUSE_END = re.compile(r"[.!?;\n]")
 
 #: Function words of English, German, French and Spanish, by class.
 TARGETS = frozenset("you your you're youre u they them he she him her du dich dir ihr euch sie er tu toi te vous il elle ils tú ti usted ustedes vosotros él ella".split())
@@ -123,9 +124,9 @@ class Scorer:
             start = end - length + 1
             if start < done or (start and lower[start - 1].isalpha()):
                 continue
-            left = max(max(lower.rfind(c, max(0, start - REACH), start) for c in CLAUSE_ENDS) + 1, done, start - REACH, 0)
-            ends = [at for at in (lower.find(c, start, end + REACH) for c in CLAUSE_ENDS) if at >= 0]
-            done = min(ends, default=min(len(lower), end + REACH))
+            left = max(max(lower.rfind(c, max(0, done), start) for c in CLAUSE_ENDS) + 1, done, 0)
+            stop = CLAUSE_END.search(lower, start)
+            done = stop.start() if stop else len(lower)
             letters = [letter_of(w, self.stems, self.lengths) for w in WORDS.findall(lower, left, done)]
             read = self.forwards.run("".join(a for a, _ in letters))
             read = self.backwards.run(read[::-1])[::-1]
@@ -135,37 +136,58 @@ class Scorer:
         return [math.log1p(sums[s]) for s in SCORED]
 
 
-def stems_in(text: str | None) -> Counter:
-    """How often each stem starts a word of the text; a short word is its own stem."""
+def plain_words(text: str | None, forwards: Composed) -> Counter:
+    """How often each word would stand as an insult that is neither negated nor reported, were it one."""
+    found: Counter = Counter()
+    for clause in CLAUSE_END.split((text or "").lower()):
+        words = WORDS.findall(clause)
+        letters = "".join(letter_of(w, {}, [])[0] for w in words).replace("x", "I").replace("H", "I")
+        found.update(w for w, letter in zip(words, forwards.run(letters)) if letter in "IJ")
+    return found
+
+
+def stems_in(text: str | None, forwards: Composed) -> Counter:
+    """How often each stem starts such a word of the text; a short word is its own stem."""
     low, high = STEM
     found: Counter = Counter()
-    for word, n in Counter(WORDS.findall((text or "").lower())).items():
+    for word, n in plain_words(text, forwards).items():
         for size in range(min(low, len(word)), min(high, len(word)) + 1):
             found[word[:size]] += n
     return found
 
 
-def choose(docs: list[tuple[int, list[int]]], names: list[str], gain: int) -> list[int]:
+def least(share: float, texts: int) -> int:
+    return max(2, math.ceil(share * texts))
+
+
+def choose(docs: list[tuple[int, list[int]]], names: list[str]) -> list[int]:
     """Stems that cover the toxic texts: the one that adds most is taken first; of equal ones the longest.
 
     ``docs`` are (toxic, places of the stems in it, repeated as often as they occur). A text counts until it holds
-    ``COVER`` occurrences of chosen stems, so that words which a few copies of one text share do not get in.
+    ``COVER`` occurrences of chosen stems, so that words which a few copies of one text share do not get in. Stems that
+    clean texts hold as well are tried for the texts that the surer ones leave.
     """
-    counts = np.zeros((len(docs), len(names)), np.int16)
-    for n, (_, places) in enumerate(docs):
-        np.add.at(counts[n], places, 1)
-    toxic = np.array([t for t, _ in docs], bool)
-    good, bad = counts[toxic], (counts[~toxic] > 0).sum(axis=0)
+    toxic = [places for t, places in docs if t]
+    good, bad = np.zeros((len(toxic), len(names)), np.int16), np.zeros(len(names))
+    for n, places in enumerate(toxic):
+        np.add.at(good[n], places, 1)
+    for t, places in docs:
+        if not t:
+            bad[sorted(set(places))] += 1
+    bad *= len(toxic) / max(1, len(docs) - len(toxic))
+    held = (good > 0).sum(axis=0)
     left, chosen = np.full(len(good), COVER, np.int64), []
     sizes = np.array([len(n) for n in names])
-    while len(names):
-        adds = (good[left > 0] > 0).sum(axis=0) - 5 * bad
-        best = max(range(len(names)), key=lambda n: (adds[n], sizes[n], names[n]))
-        if adds[best] < gain:
-            break
-        chosen.append(best)
-        left -= good[:, best]
-        good[:, best] = 0
+    for odds, price, share in ROUNDS:
+        tried = np.flatnonzero(held >= odds * bad).tolist()
+        while tried:
+            adds = (good[left > 0] > 0).sum(axis=0) - price * bad
+            best = max(tried, key=lambda n: (adds[n], sizes[n], names[n]))
+            if adds[best] < least(share, len(toxic)):
+                break
+            chosen.append(best)
+            left -= good[:, best]
+            good[:, best] = 0
     return chosen
 
 
@@ -207,33 +229,43 @@ def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str =
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: tuple[Counter, Counter] = (Counter(), Counter())
+        forwards = grammar()[0]
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                found[toxic].update(stems_in(text).keys())
+                found[toxic].update(stems_in(text, forwards).keys())
         for toxic, stems in enumerate(found):
-            yield pd.DataFrame({"stem": list(stems), "toxic": toxic, "n": list(stems.values())})
+            # An empty column has no type that Arrow could take for text.
+            if stems:
+                yield pd.DataFrame({"stem": list(stems), "toxic": toxic, "n": list(stems.values())})
 
-    gain = max(2, math.ceil(GAIN * good))
+    odds, price, share = ROUNDS[-1]
     is_toxic = F.col("toxic") == 1
-    listed = texts.mapInPandas(count, "stem string, toxic int, n long").groupBy("stem").agg(
+    counted = texts.mapInPandas(count, "stem string, toxic int, n long").groupBy("stem").agg(
         F.sum(F.when(is_toxic, F.col("n")).otherwise(0)).alias("good"), F.sum(F.when(is_toxic, 0).otherwise(F.col("n"))).alias("bad")
-    ).filter((F.col("good") >= gain) & (F.col("bad") * good * 50 <= F.col("good") * bad)).orderBy(
-        F.col("good").desc(), "bad", "stem").limit(TRIED).collect()
+    ).filter((F.col("good") >= least(share, good)) & (F.col("bad") * good * odds <= F.col("good") * bad))
+    # A stem is in the same texts as one a letter longer if it is in as many; the longer one stands for both.
+    counted = stored(counted, "counted-stems")
+    longer = counted.filter(F.length("stem") > STEM[0]).select(
+        F.expr("left(stem, length(stem) - 1)").alias("of_stem"), F.col("good").alias("of_good"), F.col("bad").alias("of_bad"))
+    listed = counted.join(longer, (F.col("stem") == F.col("of_stem")) & (F.col("good") == F.col("of_good")) & (
+        F.col("bad") == F.col("of_bad")), "left_anti").orderBy(
+        (F.col("good") - price * F.col("bad") * good / max(1, bad)).desc(), "bad", "stem").limit(TRIED).collect()
     names = [r["stem"] for r in listed]
     place = {s: n for n, s in enumerate(names)}
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forwards = grammar()[0]
         for batch in batches:
             yield pd.DataFrame({"toxic": batch["toxic"], "places": [
-                [place[s] for s, n in sorted(stems_in(t).items()) if s in place for _ in range(min(n, COVER))] for t in batch["text"]
+                [place[s] for s, n in sorted(stems_in(t, forwards).items()) if s in place for _ in range(min(n, COVER))] for t in batch["text"]
             ]})
 
     docs = [(r["toxic"], list(r["places"])) for r in texts.mapInPandas(mark, "toxic int, places array<int>").collect()]
     stems = {}
-    for n in choose(docs, names, gain):
+    for n in choose(docs, names):
         row = listed[n]
-        odds = math.log((row["good"] + 0.5) / (good + 1)) - math.log((row["bad"] + 0.5) / (bad + 1))
-        stems[names[n]] = min(1.0, max(0.2, odds / 6))
+        surely = math.log((row["good"] + 0.5) / (good + 1)) - math.log((row["bad"] + 0.5) / (bad + 1))
+        stems[names[n]] = min(1.0, max(0.2, surely / 4))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(stems)

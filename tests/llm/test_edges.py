@@ -162,3 +162,21 @@ def test_notices_that_are_passed_in(spark):
     frame = rows(spark, [(1, "a\nTAKE it, and run!\nb"), (2, "a\nthe license of non commercial favor\nb"), (3, "Copyright law is long\nrun.")])
     got = {r.doc_id: r.line_licenses for r in licenses.scan(frame, notices=notices).collect()}
     assert got == {1: "X", 2: "Y", 3: ""} and [r.line_licenses for r in licenses.scan(frame, notices=()).collect()] == [""] * 3
+
+
+def test_insults_that_clean_texts_negate_are_learned(spark):
+    filler = lambda n: " ".join(f"word{(n * 7 + k * k) % 97}" for k in range(12))
+    texts = []
+    for n in range(1200):
+        toxic = n % 2
+        insult = "gronkle" if n % 10 < 8 else "vexmoor"
+        said = f"you are {insult}" if toxic else f"nobody here is not {insult}" if n % 3 else f"he said it was {insult}"
+        texts.append((n, f"{filler(n)}. you are a guest. {said}. {filler(n + 5)}", toxic))
+    texts += [(2000 + n, f"{filler(n)}. you are a smorkel", 1) for n in range(3)]
+    texts += [(3000 + n, f"{filler(n)} gronkle", 0) for n in range(20)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    stems, weights = toxicity.learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True))
+    assert all(any(word.startswith(s) for s in stems) for word in ("gronkle", "vexmoor", "smorkel"))
+    far = "he said " + "on and on " * 40
+    asked = rows(spark, [(1, "you are gronkle"), (2, "this is not gronkle"), (3, "he said it was vexmoor"), (4, far + "it was vexmoor"), (5, "you smorkel")])
+    assert {r.doc_id: r.score >= 0.5 for r in toxicity.score(asked, stems, weights).collect()} == {1: True, 2: False, 3: False, 4: False, 5: True}
