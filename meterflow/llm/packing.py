@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,13 +31,26 @@ MARKS = ".,;:!?*%&$#|)\""
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+# The rules under which the ids of a text are those of its chunks.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
+
 class Tokens:
     """Ids of texts as little-endian 4-byte words.
 
     The tokenizer drops white space and never joins across it, so that the ids of a text are those of its chunks
     between blanks and line feeds, one after the other, and those of a word are the same in any case. Chunks repeat;
-    their ids are remembered. A text that holds
-    the string of a special token, which may contain no blank but is matched before anything else, goes through whole.
+    their ids are remembered. A text that holds the string of a special token, which may contain no blank but is
+    matched before anything else, goes through whole, and so does every text of a tokenizer with other rules.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -44,6 +58,8 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_words = all(rules[part] == rule for part, rule in RULES.items())
         self.end = end_id.to_bytes(ID, "little")
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(words.values()) + 1, bool)
@@ -86,11 +102,12 @@ class Tokens:
             known[chunk] = known[word] + known[chunk[len(word) :]]
 
     def of(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if not self.by_words or any(s in text for s in self.special):
             return self._encode([text])[0] + self.end
         # Letters of a composed text fall to lower case one by one, but for the sigma, which looks at its neighbours.
-        if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", text):
-            text = text.lower()
+        if not text.isascii() and ("Σ" in text or not unicodedata.is_normalized("NFC", text)):
+            return self._encode([text])[0] + self.end
+        text = text.lower()
         chunks = text.replace("\n", " ").split(" ")
         known = self.known
         new = set(chunks).difference(known)

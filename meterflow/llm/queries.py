@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import dedup, langid, licenses, mixing, ngram_join, packing, pii, sharding, topk, toxicity
+from meterflow.llm import (
+    conversations, dedup, langid, licenses, mixing, ngram_join, packing, pii, sharding, spelling, token_files, topk, toxicity,
+)
 from meterflow.llm.common import crc_of, table
+from meterflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +102,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    files = token_files.write(
+        documents, scratch_path(spark, "token-files"), public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    return token_files.read(files).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@registered
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(damaged).withColumnRenamed("sha256", "repaired_sha256").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
