@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ ID = 4
 #: Distinct chunks of text whose ids a task remembers, and the longest chunk that it does remember.
 REMEMBERED = 500_000
 LONGEST = 48
+#: Words that are encoded as one text.
+TOGETHER = 200
 #: Marks that end a word of letters and are units of their own with what follows them.
 MARKS = ".,;:!?*%&$#|)\""
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -45,82 +48,146 @@ RULES = {
 
 
 class Tokens:
-    """Ids of texts as little-endian 4-byte words.
+    """Ids of texts, encoded a batch at a time.
 
     The tokenizer drops white space and never joins across it, so that the ids of a text are those of its chunks
-    between blanks and line feeds, one after the other, and those of a word are the same in any case. Chunks repeat;
-    their ids are remembered. A text that holds the string of a special token, which may contain no blank but is
-    matched before anything else, goes through whole, and so does every text of a tokenizer with other rules.
+    between blanks and line feeds, one after the other, and those of a word are the same in any case. Chunks repeat:
+    a batch is reduced to its distinct chunks, their ids are remembered in one array, and the texts' ids are taken from
+    there. A text that holds the string of a special token, which may contain no blank but is matched before anything
+    else, goes through whole, and so does every text of a tokenizer with other rules.
     """
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         rules = json.loads(self.tokenizer.to_str())
         self.by_words = all(rules[part] == rule for part, rule in RULES.items())
-        self.end = end_id.to_bytes(ID, "little")
+        # For words that need no rule: lower-case letters only.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.end = end_id
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[n for word, n in words.items() if word.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self._forget()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.lengths, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+
+    def _store(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Appends the ids of some chunks; returns the place of the first."""
+        first, count = self.count, len(lengths)
+        self.ids = _room(self.ids, self.used + len(ids))
+        self.starts, self.lengths = _room(self.starts, first + count), _room(self.lengths, first + count)
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.lengths[first : first + count] = lengths
+        self.starts[first : first + count] = self.used + np.cumsum(lengths) - lengths
+        self.used, self.count = self.used + len(ids), first + count
+        return first
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        return [np.asarray(e.ids, dtype=np.uint32) for e in found]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only, from one encoding: each word is one unit, whose last id alone ends a word."""
-        ids = np.asarray(self._encode_one(" ".join(words)), dtype="<u4")
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of words of letters only, encoded together: the last id of a word alone ends a word."""
+        groups = [" ".join(words[n : n + TOGETHER]) for n in range(0, len(words), TOGETHER)]
+        found = self.bare.encode_batch_fast(groups, add_special_tokens=False)
+        ids = np.concatenate([np.asarray(e.ids, dtype=np.uint32) for e in found])
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(words):
-            return self._encode(words)
-        packed, cuts = ids.tobytes(), (ends * ID).tolist()
-        return [packed[a:b] for a, b in zip([0, *cuts], cuts)]
-
-    def _encode_one(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        if len(ends) == len(words):
+            return ids, np.diff(ends, prepend=0)
+        return _joined(self._encode(words))
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Remembers the ids of new chunks; letters and the marks after them are units of their own."""
-        known, words, others, joined = self.known, set(), set(), []
+    def _learn(self, chunks: list[str], places: dict[str, int]) -> None:
+        """Adds the places of new chunks; letters and the marks after them are units of their own."""
+        words, others, both, marks = [], set(), [], []
         for chunk in chunks:
             word = chunk.rstrip(MARKS)
-            if word.isalpha() and len(chunk) <= LONGEST:
-                words.add(word)
-                if len(word) < len(chunk):
-                    others.add(chunk[len(word) :])
-                    joined.append((chunk, word))
-            else:
+            if not word.isalpha() or len(chunk) > LONGEST:
                 others.add(chunk)
-        for encode, wanted in ((self._words, words), (self._encode, others)):
-            new = list(wanted.difference(known))
+            elif len(word) == len(chunk):
+                words.append(word)
+            else:
+                both.append(chunk)
+                words.append(word)
+                marks.append(chunk[len(word) :])
+        bases = [chunk[: -len(mark)] for chunk, mark in zip(both, marks)]
+        others.update(marks)
+        for encode, wanted in ((self._words, words), (lambda texts: _joined(self._encode(texts)), others)):
+            new = list(set(wanted).difference(places))
             if new:
-                known.update(zip(new, encode(new)))
-        for chunk, word in joined:
-            known[chunk] = known[word] + known[chunk[len(word) :]]
+                first = self._store(*encode(new))
+                places.update(zip(new, range(first, first + len(new))))
+        if both:
+            parts = np.array([list(map(places.get, bases)), list(map(places.get, marks))]).T.ravel()
+            ids, lengths = self._taken(parts)
+            first = self._store(ids, lengths.reshape(-1, 2).sum(axis=1))
+            places.update(zip(both, range(first, first + len(both))))
+
+    def _taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks one after the other, and how many each has."""
+        lengths = self.lengths[places]
+        before = np.cumsum(lengths) - lengths
+        at = np.repeat(self.starts[places] - before, lengths)
+        at += np.arange(len(at))
+        return self.ids[at], lengths
+
+    def batch(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The ids of all texts one after the other, each with the end id, and where each text begins; then the end."""
+        plain, whole = [], {}
+        for n, text in enumerate(texts):
+            # Letters of a composed text fall to lower case one by one, but for the sigma, which looks at its neighbours.
+            odd = not text.isascii() and ("Σ" in text or not unicodedata.is_normalized("NFC", text))
+            if odd or not self.by_words or any(s in text for s in self.special):
+                whole[n] = self._encode([text])[0]
+                text = ""
+            plain.append(text.lower().replace("\n", " "))
+        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.places.get, distinct))
+        new = [chunk for chunk, place in zip(distinct, found) if place is None]
+        if len(self.places) + len(new) > REMEMBERED:
+            self._forget()
+            found, new = [None] * len(distinct), distinct
+        places = self.places
+        self._learn([chunk for chunk in new if len(chunk) <= LONGEST], places)
+        # Long chunks hardly come again: their ids go when the batch is done.
+        used, count, own = self.used, self.count, {}
+        self._learn([chunk for chunk in new if len(chunk) > LONGEST], own)
+        learnt = iter([places[chunk] if len(chunk) <= LONGEST else own[chunk] for chunk in new])
+        table = np.array([next(learnt) if place is None else place for place in found], np.int64)
+        chunks = table[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
+        ids, lengths = self._taken(chunks)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.asarray(split.offsets)]
+        self.used, self.count = used, count
+        ids = np.insert(ids, ends[1:], self.end)
+        bounds = (ends + np.arange(len(ends))).tolist()
+        if whole:
+            parts = [whole[n] if n in whole else ids[bounds[n] : bounds[n + 1] - 1] for n in range(len(texts))]
+            ids = np.concatenate([x for part in parts for x in (part, [self.end])]).astype(np.uint32)
+            bounds = np.cumsum([0, *(len(part) + 1 for part in parts)]).tolist()
+        return ids, bounds
 
     def of(self, text: str) -> bytes:
-        if not self.by_words or any(s in text for s in self.special):
-            return self._encode([text])[0] + self.end
-        # Letters of a composed text fall to lower case one by one, but for the sigma, which looks at its neighbours.
-        if not text.isascii() and ("Σ" in text or not unicodedata.is_normalized("NFC", text)):
-            return self._encode([text])[0] + self.end
-        text = text.lower()
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = set(chunks).difference(known)
-        if new:
-            if len(known) + 2 * len(new) > REMEMBERED:
-                known.clear()
-                new = set(chunks)
-            self._learn(list(new))
-        ids = b"".join(map(known.__getitem__, chunks))
-        for chunk in new:
-            if len(chunk) > LONGEST:
-                known.pop(chunk, None)
-        return ids + self.end
+        return self.batch([text])[0].tobytes()
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
+
+
+def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
@@ -186,9 +253,10 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
         waiting: list[tuple] = []
         for batch in batches:
             made: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = tokens.of(text or "")
-                total = len(ids) // ID
+            content, bounds = tokens.batch([text or "" for text in batch.column(1).to_pylist()])
+            for doc, low, high in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
+                ids = content[low:high].tobytes()
+                total = high - low
                 whole = total - total % capacity
                 for start in range(0, whole, capacity):
                     made.append((doc, start, capacity, total, sequence, 0, ids[start * ID : (start + capacity) * ID]))
