@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import sys
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +28,40 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+ship(__name__)
+
+
+def release() -> None:
+    """Hands the memory that a Python worker no longer uses back to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task whose memory goes back when the task is done."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        release()
+
+    return tidied
+
+
+def tidy_calls(work: Callable) -> Callable:
+    """The same for a function that is called for a group at a time."""
+
+    @functools.wraps(work)
+    def tidied(*groups):
+        made = work(*groups)
+        release()
+        return made
+
+    return tidied
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the bytes of the session's Arrow batches: by default a batch of long texts takes 64 MB on either side."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

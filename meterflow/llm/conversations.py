@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, shuffle_partitions, small_batches, stored
+from meterflow.llm.common import ship, shuffle_partitions, small_batches, stored, tidy
 
 ship(__name__)
 
@@ -277,21 +277,21 @@ def repair(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     small_batches(spark)
     kind = frame.schema["conv_id"].dataType.simpleString()
-    pieces = stored(_ordered(_marked(frame)).mapInArrow(_cut, f"conv string, {WHOLE}, {PIECE}"), "conversation-pieces")
+    pieces = stored(_ordered(_marked(frame)).mapInArrow(tidy(_cut), f"conv string, {WHOLE}, {PIECE}"), "conversation-pieces")
     names = [name.split()[0] for name in WHOLE.split(", ")]
     whole = pieces.filter("part IS NULL").select("conv", *names)
     parts = pieces.filter("part IS NOT NULL").drop(*names)
 
     costs = parts.select("conv", "part", "seq", "faults", F.transform("roles", lambda r: F.substring(r, 1, 1)).alias("initials"))
-    costs = costs.mapInArrow(_transitions, "conv string, part int, seq int, costs array<long>")
+    costs = costs.mapInArrow(tidy(_transitions), "conv string, part int, seq int, costs array<long>")
     back = costs.repartition("conv").sortWithinPartitions("conv", F.desc("part"), F.desc("seq"))
-    onward = stored(back.mapInArrow(_backwards, "of string, of_part int, of_seq int, onward array<long>"), "onward")
+    onward = stored(back.mapInArrow(tidy(_backwards), "of string, of_part int, of_seq int, onward array<long>"), "onward")
     here = (F.col("conv") == F.col("of")) & (F.col("part") == F.col("of_part")) & (F.col("seq") == F.col("of_seq"))
     joined = parts.join(onward, here).drop("of", "of_part", "of_seq")
     fields = f"conv string, {PIECE}"
-    ways = joined.mapInArrow(_ways, f"{fields}, costs array<long>, audits array<string>, states array<string>")
+    ways = joined.mapInArrow(tidy(_ways), f"{fields}, costs array<long>, audits array<string>, states array<string>")
     forward = ways.repartition("conv").sortWithinPartitions("conv", "part", "seq")
-    pieced = forward.mapInArrow(_follow, f"conv string, {WHOLE}")
+    pieced = forward.mapInArrow(tidy(_follow), f"conv string, {WHOLE}")
     back_to = F.when(F.col("conv") != "n", F.expr("substring(conv, 2)")).cast(kind).alias("conv_id")
     return whole.unionAll(pieced).select(back_to, *names)
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, small_batches, stored
+from meterflow.llm.common import ship, small_batches, stored, tidy
 
 ship(__name__)
 
@@ -155,7 +155,7 @@ def _learned(rows: DataFrame, fit_rows: int) -> DataFrame:
             for lang, words in found.items():
                 yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
 
-    counted = chosen.mapInPandas(count, "lang string, word string, n long")
+    counted = chosen.mapInPandas(tidy(count), "lang string, word string, n long")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -187,7 +187,7 @@ def fit(rows: DataFrame, vocabulary_path: str, fit_rows: int = FIT_ROWS, rounds:
 
         counts = np.full((len(pieces) + 1, len(languages)), SMOOTHING)
         at = {p: n for n, p in enumerate(pieces)} | {"": len(pieces)}
-        summed = words.mapInPandas(expect, "lang string, piece string, n double")
+        summed = words.mapInPandas(tidy(expect), "lang string, piece string, n double")
         # Sums of parts in no fixed order differ in their last digits; they are cut off, so that reruns agree.
         for row in summed.groupBy("lang", "piece").agg(F.round(F.sum("n"), 4).alias("n")).collect():
             counts[at[row["piece"]], place[row["lang"]]] += row["n"]
@@ -266,7 +266,7 @@ def _scored(frame: DataFrame, texts: Callable[[pa.RecordBatch], pa.Array], langu
             )
 
     name = first.name
-    return frame.mapInArrow(score, f"`{name}` {first.dataType.simpleString()}, lang_pred string, score double")
+    return frame.mapInArrow(tidy(score), f"`{name}` {first.dataType.simpleString()}, lang_pred string, score double")
 
 
 def learn(frame: DataFrame, vocabulary_path: str, trains: Column, id_col: str = "doc_id", text_col: str = "text",

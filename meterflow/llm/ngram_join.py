@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm import dedup
-from meterflow.llm.common import ship, small_batches, stored
+from meterflow.llm.common import ship, small_batches, stored, tidy, tidy_calls
 from meterflow.llm.components import components
 
 ship(__name__)
@@ -178,7 +178,7 @@ def frequent_shingles(rows: DataFrame) -> np.ndarray:
 
     read = rows.filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
     least = max(FEWEST, read.count() // RARE)
-    found = read.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = read.select("text").mapInArrow(tidy(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     listed = found.filter(F.col("n") >= least).select("shingle").collect()
     return np.sort(np.array([r["shingle"] for r in listed], np.int64).view(np.uint64))
 
@@ -368,7 +368,7 @@ def _sets(frame: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["node", "size", "bits", "elements"]
             )
 
-    made = chosen.select("text").mapInArrow(read, "node long, size long, bits binary, elements binary")
+    made = chosen.select("text").mapInArrow(tidy(read), "node long, size long, bits binary, elements binary")
     made = stored(made.withColumn("uid", F.monotonically_increasing_id()), "sets")
     # A set can come from several tasks. Of those the first stays; only the numbers of the others are sent around.
     first = made.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("uid").alias("first")).filter("rows > 1")
@@ -424,7 +424,7 @@ def _possible(edges: DataFrame, maps: DataFrame) -> DataFrame:
 
     both = _with(_with(edges, "a", maps, ["size", "bits"], "_a"), "b", maps, ["size", "bits"], "_b")
     picked = both.select("a", "b", "hits", "size_a", "bits_a", "size_b", "bits_b")
-    return stored(picked.mapInArrow(check, "a long, b long, hits long"), "possible")
+    return stored(picked.mapInArrow(tidy(check), "a long, b long, hits long"), "possible")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -441,7 +441,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = stored(pairs, "pairs")
     own = _elements(sets, pairs.select(F.explode(F.array("a", "b")).alias("key")))
     both = _with(_with(pairs, "a", own, ["elements"], "_a"), "b", own, ["elements"], "_b")
-    return stored(both.select("a", "b", "elements_a", "elements_b").mapInArrow(check, "a long, b long"), "links")
+    return stored(both.select("a", "b", "elements_a", "elements_b").mapInArrow(tidy(check), "a long, b long"), "links")
 
 
 def _labelled(frame: DataFrame, node: str, roots: DataFrame, label: str) -> DataFrame:
@@ -553,7 +553,7 @@ def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     def called(work, rows: DataFrame, things: DataFrame, columns: list[str], kind: str, name: str) -> DataFrame:
         used = rows.select(F.col("call").alias("its_call"), F.col("node").alias("name")).distinct()
         used = _with(used, "name", things, columns, "")
-        return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(work, kind), name)
+        return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(tidy_calls(work), kind), name)
 
     kept = called(_sieve, tasks, sets, ["size", "bits"], TASK, "sieved")
     own = _elements(sets, kept.select(F.col("node").alias("key")))
@@ -580,8 +580,8 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # About six bytes a word, one shingle a word, one signature a shingle.
     buckets = max(16, -(-letters // (6 * BUCKET_SIGNATURES)))
     frequent = frame.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
-    sent = rows.mapInArrow(_sign_partition(buckets, frequent), "bucket int, kind string, one binary, two binary, three binary")
-    found = stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "runs")
+    sent = rows.mapInArrow(tidy(_sign_partition(buckets, frequent)), "bucket int, kind string, one binary, two binary, three binary")
+    found = stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_calls(_meet(buckets)), FOUND), "runs")
     facts = found.filter(F.col("n").isNotNull()).select("doc_id", "node", "n")
     runs = found.filter(F.col("members").isNotNull()).select("key", "members", "hits")
 

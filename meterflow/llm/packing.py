@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import unicodedata
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, small_batches
+from meterflow.llm.common import ship, small_batches, tidy
 
 ship(__name__)
 
@@ -60,6 +61,8 @@ class Tokens:
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        # Threads of the tokenizer's own take memory that a task's end does not give back.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         rules = json.loads(self.tokenizer.to_str())
@@ -297,4 +300,4 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return narrow.mapInArrow(work, f"`{id_col}` {kind.simpleString()}, {SCHEMA}")
+    return narrow.mapInArrow(tidy(work), f"`{id_col}` {kind.simpleString()}, {SCHEMA}")

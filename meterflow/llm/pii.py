@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, stored
+from meterflow.llm.common import ship, stored, tidy
 
 ship(__name__)
 
@@ -196,7 +196,7 @@ def find(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     kind = narrow.schema[0].dataType.simpleString()
     searched = stored(narrow.mapInArrow(
-        search, f"`{id_col}` {kind}, base array<struct<kind:string,start:long,end:long>>, "
+        tidy(search), f"`{id_col}` {kind}, base array<struct<kind:string,start:long,end:long>>, "
         "found array<struct<start:long,end:long,votes:string,features:string>>",
     ), "spans")
     each = searched.select(F.explode("found").alias("span")).select("span.votes", "span.features")

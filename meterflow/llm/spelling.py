@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, small_batches, stored
+from meterflow.llm.common import ship, small_batches, stored, tidy
 
 ship(__name__)
 
@@ -53,7 +53,7 @@ def bigram_ranks(words: DataFrame) -> dict[str, tuple[int, int]]:
             [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"]
         )
 
-    counts = words.select("word").mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = words.select("word").mapInArrow(tidy(count), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     ordered = sorted((row["n"], row["gram"]) for row in counts.collect())
     return {gram: (place, n) for place, (n, gram) in enumerate(ordered)}
 
@@ -153,7 +153,7 @@ def _keyed(words: DataFrame, keys: Callable, ranks: dict[str, tuple[int, int]],
                 [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, flat)], names=["w", "n", "keys"]
             )
 
-    listed = words.select("word", "n").mapInArrow(work, "w string, n long, keys array<long>")
+    listed = words.select("word", "n").mapInArrow(tidy(work), "w string, n long, keys array<long>")
     return listed.select(F.explode("keys").alias(names[0]), F.col("w").alias(names[1]), F.col("n").alias(names[2]))
 
 

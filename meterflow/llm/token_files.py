@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import running_totals, ship, shuffle_partitions, small_batches, stored
+from meterflow.llm.common import running_totals, ship, shuffle_partitions, small_batches, stored, tidy
 from meterflow.llm.packing import ID, Tokens
 
 ship(__name__)
@@ -207,7 +207,7 @@ def write(frame: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id_col
                        pa.array(files, pa.string()), pa.array(docs, pa.int64()), pa.array(ids, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "seq", "file", "docs", "ids"])
 
-    manifest = stored(ordered.select("id", "text").mapInArrow(work, MANIFEST), "token-manifest")
+    manifest = stored(ordered.select("id", "text").mapInArrow(tidy(work), MANIFEST), "token-manifest")
     files = running_totals(manifest, [], ["part", "seq"], "ids").drop("place")
     # An empty column carries the type of the doc ids to the readers.
     return files.withColumn("id_type", F.lit(None).cast(kind))
@@ -225,7 +225,7 @@ def _over_files(files: DataFrame, rows: Callable[[Reader, int], Iterator[list[pa
                 reader.close()
 
     spread = files.select("file", "before").repartition(max(1, shuffle_partitions(files.sparkSession)), "file")
-    return spread.mapInArrow(work, schema)
+    return spread.mapInArrow(tidy(work), schema)
 
 
 def _kind(files: DataFrame) -> str:
@@ -299,4 +299,4 @@ def fetch(files: DataFrame, wanted: DataFrame) -> DataFrame:
         if reader is not None:
             reader.close()
 
-    return places.mapInArrow(work, f"doc_id {_kind(files)}, ids array<long>, frames int")
+    return places.mapInArrow(tidy(work), f"doc_id {_kind(files)}, ids array<long>, frames int")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, stored
+from meterflow.llm.common import ship, stored, tidy
 
 ship(__name__)
 
@@ -240,7 +240,7 @@ def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str =
 
     odds, price, share = ROUNDS[-1]
     is_toxic = F.col("toxic") == 1
-    counted = texts.mapInPandas(count, "stem string, toxic int, n long").groupBy("stem").agg(
+    counted = texts.mapInPandas(tidy(count), "stem string, toxic int, n long").groupBy("stem").agg(
         F.sum(F.when(is_toxic, F.col("n")).otherwise(0)).alias("good"), F.sum(F.when(is_toxic, 0).otherwise(F.col("n"))).alias("bad")
     ).filter((F.col("good") >= least(share, good)) & (F.col("bad") * good * odds <= F.col("good") * bad))
     # A stem is in the same texts as one a letter longer if it is in as many; the longer one stands for both.
@@ -260,7 +260,7 @@ def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str =
                 [place[s] for s, n in sorted(stems_in(t, forwards).items()) if s in place for _ in range(min(n, COVER))] for t in batch["text"]
             ]})
 
-    docs = [(r["toxic"], list(r["places"])) for r in texts.mapInPandas(mark, "toxic int, places array<int>").collect()]
+    docs = [(r["toxic"], list(r["places"])) for r in texts.mapInPandas(tidy(mark), "toxic int, places array<int>").collect()]
     stems = {}
     for n in choose(docs, names):
         row = listed[n]
@@ -272,7 +272,7 @@ def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str =
         for batch in batches:
             yield pd.DataFrame({"toxic": batch["toxic"], "x": [scorer.features(t) for t in batch["text"]]})
 
-    rows = sorted((r["toxic"], tuple(r["x"])) for r in texts.mapInPandas(measure, "toxic int, x array<double>").collect())
+    rows = sorted((r["toxic"], tuple(r["x"])) for r in texts.mapInPandas(tidy(measure), "toxic int, x array<double>").collect())
     if not rows:
         return stems, [0.0] * len(SCORED) + [-4.0]
     weights = logistic(np.array([x for _, x in rows]), np.array([t for t, _ in rows], float))
@@ -297,4 +297,4 @@ def score(frame: DataFrame, stems: dict[str, float], weights: list[float], id_co
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance, pa.float64())], names=[id_col, "score"])
 
     narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return narrow.mapInArrow(work, f"`{id_col}` {narrow.schema[0].dataType.simpleString()}, score double")
+    return narrow.mapInArrow(tidy(work), f"`{id_col}` {narrow.schema[0].dataType.simpleString()}, score double")
