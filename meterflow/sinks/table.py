@@ -1,125 +1,182 @@
 """The telemetry table on plain Parquet: hourly layout, repeatable batches, compaction.
 
 Layout: ``event_date=/event_hour=/batch=``. A batch overwrites its own folders only, so writing it again after a
-failure changes nothing. Compaction folds the batches of cold hours into one folder with a negative number:
-``batch=-(n+1)`` stands for all batches up to n.
+failure changes nothing. Folded folders have negative numbers: ``folded(first, last)`` stands for the batches from first
+to last. Beside the table lies its ledger, one small folder per batch with the hours that the batch wrote: compaction
+learns from it where to look and lists nothing else.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.files import Files
 from meterflow.schemas import METRICS
-from meterflow.session import scratch_path
-from meterflow.sources.tables import LAYOUT
+from meterflow.sources.tables import LAYOUT, hour_folder
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 COLUMNS = ["timestamp", "device_id", *METRICS, "security_flag"]
+#: Folders of a level that are folded into one of the next.
+FAN = 8
+_LAST = (1 << 31) - 1
 
 
 def with_hours(rows: DataFrame, ts: str = "timestamp") -> DataFrame:
     return rows.withColumn("event_date", F.to_date(ts)).withColumn("event_hour", F.hour(ts))
 
 
-def _write(rows: DataFrame, path: str, partitions: list[str]) -> None:
+def ledger_path(path: str) -> str:
+    return f"{path.rstrip('/')}-ledger"
+
+
+def _write(rows: DataFrame, path: str, partitions: list[str], observed: dict[str, Column]) -> dict:
+    """Writes and returns what was observed on the way, in the writing tasks themselves: each counts once."""
+    seen = Observation()
     (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+        rows.observe(seen, *[value.alias(name) for name, value in observed.items()])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
         .partitionBy(*partitions).parquet(path)
     )
+    return seen.get
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch of telemetry rows; the same batch may be written again.
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> int:
+    """Append one batch of telemetry rows; the same batch may be written again. Returns the number of rows.
 
     The rebalance hint gathers the rows of an hour into few files and splits hours that are too large for one task.
     """
     laid_out = with_hours(rows.select(*COLUMNS)).withColumn("batch", F.lit(batch_id).cast("long"))
-    _write(laid_out.hint("rebalance", "event_date", "event_hour"), path, LAYOUT)
-
+    hour = F.unix_date("event_date").cast("long") * 24 + F.col("event_hour")
+    seen = _write(laid_out.hint("rebalance", "event_date", "event_hour"), path, LAYOUT,
+                  {"rows": F.count(F.lit(1)), "hours": F.collect_set(hour)})
+    hours = [(hour, batch_id) for hour in sorted(seen.get("hours") or [])]
+    ledger = rows.sparkSession.createDataFrame(hours, "hour long, of_batch long").coalesce(1)
+    ledger.write.mode("overwrite").parquet(f"{ledger_path(path)}/batch={batch_id}")
+    return seen.get("rows") or 0
 
-def write_side_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch of a small side table (alerts, rejects, ledgers); repeatable as well."""
-    _write(rows.withColumn("batch", F.lit(batch_id).cast("long")), path, ["batch"])
 
+def write_side_batch(rows: DataFrame, path: str, batch_id: int) -> int:
+    """Append one batch of a small side table (alerts, rejects, ledgers); repeatable as well. Returns the number of rows."""
+    seen = _write(rows.withColumn("batch", F.lit(batch_id).cast("long")), path, ["batch"], {"rows": F.count(F.lit(1))})
+    return seen.get("rows") or 0
 
-class _Files:
-    """The few folder operations that plain Parquet needs."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def folded(first: int, last: int) -> int:
+    """The number of a folder that holds the batches from ``first`` to ``last``."""
+    return -((first << 31) + last) - 1
 
-    def glob(self, pattern: str) -> list[str]:
-        found = self._fs.globStatus(self._path(pattern))
-        return [] if found is None else [status.getPath().toString() for status in found]
 
-    def size(self, path: str) -> int:
-        return self._fs.getContentSummary(self._path(path)).getLength()
+def covers(batch: int) -> tuple[int, int]:
+    """The first and the last batch of a folder."""
+    return (batch, batch) if batch >= 0 else (-batch - 1 >> 31, -batch - 1 & _LAST)
 
-    def delete(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
 
-    def move(self, source: str, target: str) -> None:
-        if not self._fs.rename(self._path(source), self._path(target)):
-            raise OSError(f"cannot move {source} to {target}")
-
-
-def _hour(folder: str) -> datetime:
-    named = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
-    day = datetime.fromisoformat(named["event_date"]).replace(tzinfo=timezone.utc)
-    return day + timedelta(hours=int(named["event_hour"]))
+def last_batch(batch: Column) -> Column:
+    """The last batch of a row's folder: what orders changes in time."""
+    return F.when(batch >= 0, batch).otherwise((-batch - 1).bitwiseAND(F.lit(_LAST)))
 
 
 def _batch(folder: str) -> int:
     return int(folder.rsplit("/batch=", 1)[1])
 
 
-def _covers(folder: str) -> int:
-    """The last batch that a folder holds."""
-    batch = _batch(folder)
-    return batch if batch >= 0 else -batch - 1
+def _pending(spark: SparkSession, files: Files, path: str, upto: int | None) -> tuple[dict[int, list[int]], int | None]:
+    """Per hour the batches that the ledger names and compaction has not settled, and the last batch of the ledger read."""
+    ledger = ledger_path(path)
+    if not files.exists(ledger):
+        return _listed(files, path, upto)
+    _finish_swaps(files, ledger)
+    folders = [f for f in files.glob(f"{ledger}/batch=*") if upto is None or covers(_batch(f))[1] <= upto]
+    if not folders:
+        return {}, None
+    hours: dict[int, list[int]] = {}
+    for row in spark.read.schema("hour long, of_batch long").parquet(*folders).distinct().collect():
+        hours.setdefault(row["hour"], []).append(row["of_batch"])
+    return hours, max(covers(_batch(f))[1] for f in folders)
+
+
+def _listed(files: Files, path: str, upto: int | None) -> tuple[dict[int, list[int]], int | None]:
+    """The same for a table without a ledger, from all of its folders; its ledger starts with this run."""
+    hours: dict[int, list[int]] = {}
+    for folder in files.glob(f"{path}/event_date=*/event_hour=*/batch=*"):
+        named = dict(part.split("=", 1) for part in folder.split("/") if "=" in part)
+        day = datetime.fromisoformat(named["event_date"]).replace(tzinfo=timezone.utc)
+        if upto is None or covers(_batch(folder))[1] <= upto:
+            hours.setdefault(int(day.timestamp()) // 3600 + int(named["event_hour"]), []).append(covers(_batch(folder))[1])
+    return hours, max((batch for batches in hours.values() for batch in batches), default=None)
 
 
-def compact(spark: SparkSession, path: str, as_of: datetime, older_than: timedelta = timedelta(hours=2)) -> int:
+def compact(
+    spark: SparkSession, path: str, as_of: datetime, older_than: timedelta = timedelta(hours=2), upto: int | None = None
+) -> int:
     """Rewrite the hours that ended before ``as_of - older_than``: sorted by device and latest time first, in few
     files. Rows do not change. Returns the number of hours rewritten.
 
-    Rows are spread by range over (hour, device, time), so a busy hour or device takes many tasks. The new folder
-    is complete before it replaces the old ones; batches that arrive meanwhile have larger numbers and stay. A run
-    that dies during the swap is finished by the next one.
+    The ledger says which hours have batches that were not compacted yet, whatever the age of the hour; hours already
+    compacted are neither listed nor read. Rows are spread by range over (hour, device, time), so a busy hour or device
+    takes many tasks. New folders are staged below the table, one hour is swapped after the other, and a run that dies is
+    finished by the next. While a stream writes, ``upto`` is its last batch that cannot be replayed any more.
     """
-    files = _Files(spark, path)
-    _finish_swaps(files, path)
+    files = Files(spark, path)
+    pending, last = _pending(spark, files, path, upto)
     limit = as_of.astimezone(timezone.utc) if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-    hours: dict[datetime, list[str]] = {}
-    for folder in files.glob(f"{path}/event_date=*/event_hour=*/batch=*"):
-        if _hour(folder) + timedelta(hours=1) <= limit - older_than:
-            hours.setdefault(_hour(folder), []).append(folder)
-    hours = {h: found for h, found in hours.items() if len(found) > 1 or _batch(found[0]) >= 0}
-    if not hours:
-        return 0
-
-    folders = [f for found in hours.values() for f in found]
-    parts = max(len(hours), math.ceil(sum(files.size(f) for f in folders) / TARGET_FILE_BYTES))
+    newest = int((limit - older_than).timestamp()) // 3600
+    cold: dict[int, list[str]] = {}
+    for hour in sorted(h for h in pending if h < newest):
+        folder = hour_folder(path, hour)
+        _finish_swaps(files, folder)
+        found = [f for f in files.glob(f"{folder}/batch=*") if upto is None or covers(_batch(f))[1] <= upto]
+        if len(found) > 1 or found and _batch(found[0]) >= 0:
+            cold[hour] = found
+    if cold:
+        _rewrite(spark, files, path, cold)
+    if last is not None:
+        left = [(hour, batch) for hour, batches in pending.items() if hour >= newest for batch in batches]
+        _settle(spark, files, path, left, last)
+    return len(cold)
+
+
+def _rewrite(spark: SparkSession, files: Files, path: str, cold: dict[int, list[str]]) -> None:
+    folders = [f for found in cold.values() for f in found]
+    parts = max(len(cold), math.ceil(sum(files.size(f) for f in folders) / TARGET_FILE_BYTES))
     order = ["event_date", "event_hour", "device_id", F.col("timestamp").desc()]
-    staging = scratch_path(spark, "compaction")
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
     rows = spark.read.option("basePath", path).parquet(*folders).drop("batch")
     (
         rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         .write.option("compression", "zstd").partitionBy("event_date", "event_hour").parquet(staging)
     )
-    for start, found in hours.items():
-        upto = max(_covers(f) for f in found)
-        hour = f"event_date={start:%Y-%m-%d}/event_hour={start.hour}"
-        files.move(f"{staging}/{hour}", f"{path}/{hour}/_swap-{upto}")
-    _finish_swaps(files, path)
-    return len(hours)
+    for hour, found in cold.items():
+        spans = [covers(_batch(f)) for f in found]
+        first, last = min(a for a, _ in spans), max(b for _, b in spans)
+        folder = hour_folder(path, hour)
+        files.move(hour_folder(staging, hour), f"{folder}/_swap-{first}-{last}")
+        _finish_swaps(files, folder)
+    files.delete(staging)
+
+
+def _settle(spark: SparkSession, files: Files, path: str, left: list[tuple[int, int]], last: int) -> None:
+    """The ledger up to ``last`` becomes one folder with the hours that are still to come."""
+    ledger = ledger_path(path)
+    staging = f"{ledger}/_staging-{uuid.uuid4().hex}"
+    spark.createDataFrame(left, "hour long, of_batch long").coalesce(1).write.parquet(staging)
+    files.move(staging, f"{ledger}/_swap-0-{last}")
+    _finish_swaps(files, ledger)
+
+
+def _level(folder: str) -> int:
+    """How often the batches of a folder have been folded, told by their number."""
+    first, last = covers(_batch(folder))
+    level, size = 0, last - first + 1
+    while size >= FAN:
+        level, size = level + 1, size // FAN
+    return level
 
 
 def compact_side(
@@ -127,29 +184,61 @@ def compact_side(
 ) -> int:
     """Fold the batches up to ``upto`` of a side table into one folder. ``reduce`` may leave out what later readers
     do not need, such as overwritten changes. Returns the number of folders folded."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
+    _finish_swaps(files, path)
+    folders = [f for f in files.glob(f"{path}/batch=*") if covers(_batch(f))[1] <= upto]
+    return _fold(spark, files, path, folders, reduce) if len(folders) > 1 else 0
+
+
+def fold_levels(
+    spark: SparkSession, path: str, upto: int, reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> int:
+    """Fold runs of ``FAN`` neighbouring folders of one level into one of the next, as often as there are such runs.
+
+    A row is rewritten once per level, so after n batches a logarithm of n times, and at most ``FAN - 1`` folders of each
+    level are left to read. ``reduce`` has to give the same when it is applied to its own results. Only batches up to
+    ``upto`` are touched. Returns the number of folders folded.
+    """
+    files, done = Files(spark, path), 0
     _finish_swaps(files, path)
-    folders = [f for f in files.glob(f"{path}/batch=*") if _covers(f) <= upto]
-    if len(folders) < 2:
-        return 0
-    last, staging = max(_covers(f) for f in folders), scratch_path(spark, "compaction")
+    while True:
+        folders = [f for f in files.glob(f"{path}/batch=*") if covers(_batch(f))[1] <= upto]
+        folders.sort(key=lambda f: covers(_batch(f)))
+        runs, at = [], 0
+        while at < len(folders):
+            run = [f for f in folders[at : at + FAN] if _level(f) == _level(folders[at])]
+            if len(run) == FAN:
+                runs.append(run)
+            at += FAN if len(run) == FAN else 1
+        if not runs:
+            return done
+        for run in runs:
+            done += _fold(spark, files, path, run, reduce)
+
+
+def _fold(spark: SparkSession, files: Files, path: str, folders: list[str], reduce) -> int:
+    spans = [covers(_batch(f)) for f in folders]
+    first, last = min(a for a, _ in spans), max(b for _, b in spans)
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
     rows = reduce(spark.read.option("basePath", path).parquet(*folders))
     rows.drop("batch").hint("rebalance").write.option("compression", "zstd").parquet(staging)
-    files.move(staging, f"{path}/_swap-{last}")
+    files.move(staging, f"{path}/_swap-{first}-{last}")
     _finish_swaps(files, path)
     return len(folders)
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
     """Remove one batch of a side table; nothing happens where it is gone."""
-    _Files(spark, path).delete(f"{path}/batch={batch_id}")
+    Files(spark, path).delete(f"{path}/batch={batch_id}")
 
 
-def _finish_swaps(files: _Files, path: str) -> None:
+def _finish_swaps(files: Files, path: str) -> None:
     """Names that start with an underscore are hidden from readers until the old folders are gone."""
-    for swap in files.glob(f"{path}/_swap-*") + files.glob(f"{path}/event_date=*/event_hour=*/_swap-*"):
-        parent, upto = swap.rsplit("/_swap-", 1)
+    for swap in files.glob(f"{path}/_swap-*"):
+        parent, span = swap.rsplit("/_swap-", 1)
+        first, last = map(int, span.split("-")) if "-" in span else (0, int(span))
         for folder in files.glob(f"{parent}/batch=*"):
-            if _covers(folder) <= int(upto):
+            low, high = covers(_batch(folder))
+            if first <= low and high <= last:
                 files.delete(folder)
-        files.move(swap, f"{parent}/batch={-int(upto) - 1}")
+        files.move(swap, f"{parent}/batch={folded(first, last)}")
