@@ -19,8 +19,8 @@ from meterflow.operators.windows import spikes
 from meterflow.schemas import ALERT_COLUMNS
 from meterflow.sinks.table import write_batch, write_side_batch
 from meterflow.sources.tables import telemetry_near
-
-RECORD_KEY = ["topic", "partition", "offset"]
+from meterflow.streaming import landed
+from meterflow.streaming.landed import RECORD_KEY
 
 
 @dataclass(frozen=True)
@@ -54,19 +54,22 @@ class Paths:
         return f"{self.root}/checkpoint"
 
 
-def without_copies(batch: DataFrame, seen: str, batch_id: int) -> DataFrame:
-    """The records of a batch that neither the batch nor an earlier one holds already; their keys go to ``seen``.
+def without_copies(batch: DataFrame, keys: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The records of a batch that neither the batch nor an earlier one holds already.
 
-    Keys are compared with keys that have landed, never with a clock, so that a record however late is a new record.
-    Of the landed keys only those in the batch's range of offsets are read. A replay leaves out what it wrote itself.
+    Keys are compared with landed offsets, never with a clock, so that a record however late is a new record. ``keys``
+    are those of the batch and ``known`` the landed intervals near them. Only keys are shuffled: records themselves move
+    where their key occurs twice in the batch. A record without topic, partition or offset is no copy of any other.
     """
-    fresh = batch.dropDuplicates(RECORD_KEY)
-    if batch_id > 0:
-        low, high = batch.agg(F.min("offset"), F.max("offset")).first()
-        landed = batch.sparkSession.read.schema("topic string, partition int, offset long, batch long").parquet(seen)
-        landed = landed.where((F.col("batch") < batch_id) & F.col("offset").between(low, high))
-        fresh = fresh.join(landed.select(*RECORD_KEY), RECORD_KEY, "left_anti")
-    return fresh
+    fresh = batch
+    if known is not None:
+        fresh = fresh.join(landed.known_keys(keys, known), RECORD_KEY, "left_anti")
+    repeated = keys.where("n > 1").select(*RECORD_KEY, F.lit(True).alias("repeated"))
+    if repeated.isEmpty():
+        return fresh.select(*batch.columns)
+    marked = fresh.join(repeated, RECORD_KEY, "left")
+    once = marked.where("repeated IS NULL").select(*batch.columns)
+    return once.unionByName(marked.where("repeated").select(*batch.columns).dropDuplicates(RECORD_KEY))
 
 
 def _verdicts(decoded: DataFrame) -> DataFrame:
@@ -79,25 +82,33 @@ def _verdicts(decoded: DataFrame) -> DataFrame:
 
 def _write(paths: Paths, spike_options: dict | None, dedup: bool = True) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = without_copies(batch, paths.seen, batch_id) if dedup else batch
+        if not dedup:
+            return land(batch, batch_id)
+        spark, keys = batch.sparkSession, landed.keys_of(batch).persist()
+        try:
+            slots = landed.slots_of(keys)
+            known = landed.landed(spark, paths.seen, slots, batch_id)
+            land(without_copies(batch, keys, known), batch_id)
+            if slots:
+                landed.write_landed(spark, paths.seen, landed.intervals(keys), known, batch_id)
+                landed.drop_old(spark, paths.seen, slots, batch_id)
+        finally:
+            keys.unpersist()
+
+    def land(fresh: DataFrame, batch_id: int) -> None:
         decoded = _verdicts(decode(fresh)).persist()
         try:
-            if dedup:
-                keys = decoded.select(*RECORD_KEY, F.lit(batch_id).cast("long").alias("batch"))
-                keys.write.mode("overwrite").parquet(f"{paths.seen}/batch={batch_id}")
             rows = accepted(decoded)
-            write_batch(rows, paths.table, batch_id)
-            write_side_batch(rejected(decoded), paths.rejects, batch_id)
+            landed_rows = write_batch(rows, paths.table, batch_id)
+            refused = write_side_batch(rejected(decoded), paths.rejects, batch_id)
             timed = decoded.where("is_severe").withColumn("alert_time", F.coalesce("timestamp", "record_time"))
             alerts = voltage_alerts(timed, "alert_time")
             if spike_options is not None:
                 found = _new_spikes(rows, paths.table, batch_id, spike_options)
                 alerts = alerts if found is None else alerts.unionByName(found)
             write_side_batch(alerts.select(*ALERT_COLUMNS), paths.alerts, batch_id)
-            flushed = decoded.agg(
-                F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
-                F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
-            )
+            # The writers have counted what they wrote; no further job is needed.
+            flushed = fresh.sparkSession.createDataFrame([(landed_rows, refused)], "accepted long, rejected long")
             write_side_batch(flushed, paths.flushes, batch_id)
         finally:
             decoded.unpersist()
