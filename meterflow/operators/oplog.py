@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.text import event_kind, fact
-from meterflow.operators.rollup import bucket_start
+from meterflow.operators.rollup import bucket, bucket_start
 from meterflow.schemas import LOG_EVENT
 
 # Severity numbers.
@@ -19,18 +19,25 @@ def severity(level: Column) -> Column:
     return F.create_map(*pairs)[level]
 
 
-def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
-    """JSON lines to the fixed columns, ``event_time``, and a map ``extras`` of all other keys as text.
+def parse_log(lines: DataFrame, line: str = "value", typed: bool = False) -> DataFrame:
+    """JSON lines to the fixed columns, ``event_time``, and a map ``extras`` of all other keys: as text or, if ``typed``,
+    as variants, which keep numbers, lists and objects what they are.
 
     The generator keeps filters on parsed fields from being pushed below the parser and parsing again.
     """
-    extras = F.map_filter(F.from_json(line, "map<string,string>"), lambda k, _: ~k.isin(CORE_KEYS))
+    kind = "map<string,variant>" if typed else "map<string,string>"
+    extras = F.map_filter(F.from_json(line, kind), lambda k, _: ~k.isin(CORE_KEYS))
     parsed = lines.select(line, F.inline(F.array(F.struct(F.from_json(line, LOG_EVENT).alias("e")))))
     return parsed.select("e.*", extras.alias("extras"), F.try_to_timestamp(F.col("e.timestamp")).alias("event_time"))
 
 
+def extra(name: str, kind: str, path: str = "$") -> Column:
+    """A value among typed extras, or at a path within it; null where it is missing or of another kind."""
+    return F.try_variant_get(F.element_at("extras", name), path, kind)
+
+
 def format_log(events: DataFrame) -> DataFrame:
-    """Log events to JSON lines: fixed keys, exception and stack trace when present, then the extras."""
+    """Log events to JSON lines: fixed keys, exception and stack trace when present, then the extras as they are."""
     fixed = F.to_json(F.struct(*CORE_KEYS))
     extra = F.to_json("extras")
     body = F.when(
@@ -65,9 +72,8 @@ def with_facts(events: DataFrame, *names: str) -> DataFrame:
 
 
 def level_counts(events: DataFrame, width: str = "5 minutes") -> DataFrame:
-    return events.groupBy(bucket_start(F.col("event_time"), width).alias("bucket"), "level", "logger").agg(
-        F.count("*").alias("events")
-    )
+    counts = events.groupBy(bucket("event_time", width), "level", "logger").agg(F.count("*").alias("events"))
+    return counts.select(F.col("window.start").alias("bucket"), "level", "logger", "events")
 
 
 def losses(events: DataFrame, width: str = "5 minutes") -> DataFrame:

@@ -13,9 +13,14 @@ WIDTH = "5 minutes"
 _ORIGIN_SEC = 946857600
 
 
+def bucket(ts: Column | str, width: str = WIDTH) -> Column:
+    """The bucket that holds ``ts``. As a grouping key it keeps the watermark of a stream, so that buckets can end."""
+    return F.window(ts, width, startTime=_offset(width))
+
+
 def bucket_start(ts: Column, width: str = WIDTH) -> Column:
-    """Start of the bucket that holds ``ts``; usable as a grouping key in batch and streaming."""
-    return F.window(ts, width, startTime=_offset(width)).getField("start")
+    """Start of the bucket that holds ``ts``. A stream grouped by it keeps every bucket: use ``bucket`` there."""
+    return bucket(ts, width).getField("start")
 
 
 def _offset(width: str) -> str:
@@ -30,7 +35,7 @@ def _offset(width: str) -> str:
 def device_rollup(readings: DataFrame, width: str = WIDTH) -> DataFrame:
     """Statistics per bucket and device: partial aggregation, one shuffle of the partial rows."""
     return (
-        readings.groupBy(F.window("timestamp", width, startTime=_offset(width)), "device_id")
+        readings.groupBy(bucket("timestamp", width), "device_id")
         .agg(
             F.avg("voltage_v").alias("avg_voltage"),
             F.max("voltage_v").alias("max_voltage"),
@@ -61,9 +66,12 @@ def block_average(readings: DataFrame, width: str = "100 milliseconds") -> DataF
 
 def throughput(records: DataFrame, ts: str = "timestamp", by: str = "partition", seconds: int = 5) -> DataFrame:
     """Records and rate per dispatcher in fixed windows."""
-    return records.groupBy(bucket_start(F.col(ts), f"{seconds} seconds").alias("bucket"), by).agg(
-        F.count("*").alias("records"), (F.count("*") / F.lit(float(seconds))).alias("rate")
-    )
+    counts = records.groupBy(bucket(ts, f"{seconds} seconds"), by).agg(F.count("*").alias("records"))
+    return counts.select(F.col("window.start").alias("bucket"), by, "records", rate(seconds))
+
+
+def rate(seconds: int) -> Column:
+    return (F.col("records") / F.lit(float(seconds))).alias("rate")
 
 
 def energy_fixed_cadence(readings: DataFrame, seconds: float = 0.1, width: str = WIDTH) -> DataFrame:
@@ -89,9 +97,8 @@ def energy_by_gap(readings: DataFrame, tie_break: str, width: str = WIDTH) -> Da
 
 
 def alert_counts(alerts: DataFrame, width: str = WIDTH) -> DataFrame:
-    return alerts.groupBy(bucket_start(F.col("alert_time"), width).alias("bucket"), "source", "reason").agg(
-        F.count("*").alias("alerts")
-    )
+    counts = alerts.groupBy(bucket("alert_time", width), "source", "reason").agg(F.count("*").alias("alerts"))
+    return counts.select(F.col("window.start").alias("bucket"), "source", "reason", "alerts")
 
 
 def alert_counts_by_subject(alerts: DataFrame) -> DataFrame:

@@ -8,17 +8,19 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from meterflow.files import Files
 from meterflow.functions import quality as Q
 from meterflow.functions import scalars as X
 from meterflow.operators import correlate, decode, network, oplog, rollup, windows
-from meterflow.schemas import METRICS
+from meterflow.schemas import LOG_EVENT, METRICS
 from meterflow.session import scratch_path
 from meterflow.sinks import rollup as materialized
 from meterflow.sinks import table as telemetry_sink
 from meterflow.sinks.topic import publish_files
 from meterflow.sources import adapters, tables, topic
-from meterflow.streaming import aggregates, correlation, ingest
+from meterflow.streaming import aggregates, closing, correlation, ingest, partials
 from meterflow.streaming import packets as packet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,9 +291,7 @@ def baseline_residual(spark, sf_dir):
     hour = X.local_hour(F.col("clock"))
     amps = X.expected_current(hour, F.lit(1.0))
     volts = X.expected_voltage(amps)
-    flat = adapters.readings(spark, sf_dir).join(
-        adapters.events(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("clock")), "event_id"
-    )
+    flat = adapters.readings_of(adapters.events(spark, sf_dir), F.col("ts").cast("timestamp").alias("clock"))
     return plain(
         flat.select(
             "event_id", hour.alias("hour"), X.load_factor(hour).alias("load_factor"), amps.alias("expected_a"),
@@ -311,10 +311,13 @@ def baseline_outliers(spark, sf_dir):
 
 @registered
 def surge_signature(spark, sf_dir):
-    """Stored (4-byte) readings that look like a surge which tripped the load."""
-    r = adapters.readings(spark, sf_dir)
-    odd = F.when(F.col("event_id") % 3 == 0, 0.2).otherwise(F.col("power_factor"))
-    stored = adapters.stored(r.withColumn("power_factor", odd), "event_id")
+    """Stored (4-byte) readings that look like a surge which tripped the load. Errors have their current cut off and
+    their power factor spoilt, so that those at the right voltage are surges."""
+    r, tripped = adapters.readings(spark, sf_dir), F.col("event_type") == "error"
+    odd = r.withColumn("power_factor", F.when(tripped, 0.2).otherwise(F.col("power_factor"))).withColumn(
+        "current_a", F.when(tripped, F.col("current_a") / 20).otherwise(F.col("current_a"))
+    ).withColumn("voltage_v", F.when(tripped, F.col("voltage_v") + 25).otherwise(F.col("voltage_v")))
+    stored = adapters.stored(odd, "event_id")
     return plain(
         stored.where(X.is_surge_and_trip(F.col("voltage_v"), F.col("current_a"), F.col("power_factor")))
         .select("event_id", "device_id", "voltage_v", "current_a")
@@ -435,6 +438,41 @@ def log_events(spark, sf_dir):
     )
 
 
+@registered
+def log_extras(spark, sf_dir):
+    """Extras that are numbers, lists and objects, written by the formatter and parsed again as what they were."""
+    value = F.struct(F.col("value").alias("of"), F.array("event_type", F.lit("x")).alias("tags"))
+    extras = F.struct(F.col("event_id").alias("number"), value.alias("object"), F.array("user_id", "event_id").alias("ids"))
+    events = adapters.events(spark, sf_dir).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in LOG_EVENT.fields if f.name not in ("level", "line")],
+        F.lit("INFO").alias("level"), F.col("event_id").cast("int").alias("line"),
+        F.from_json(F.to_json(extras), "map<string,variant>").alias("extras"),
+    )
+    again = oplog.parse_log(oplog.format_log(events.select(*[f.name for f in LOG_EVENT.fields], "extras")), typed=True)
+    return again.select(
+        "line", oplog.extra("number", "bigint").alias("number"), oplog.extra("object", "double", "$.of").alias("value"),
+        oplog.extra("object", "string", "$.tags[0]").alias("tag"), oplog.extra("ids", "array<bigint>").alias("ids"),
+    ).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
+
+
+@registered
+def stream_rotated_log(spark, sf_dir):
+    """Log lines followed through three rotations, one of them between two lines of a batch."""
+    folder, root = scratch_path(spark, "log"), scratch_path(spark, "stream")
+    lines, log = adapters.log_lines(spark, sf_dir), f"{folder}/app_log.jsonl"
+    files = Files(spark, folder)
+    for number in range(4):
+        # A file of the log is what one task writes; the ones before move on by a number.
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(4)) == number).coalesce(1).write.text(f"{folder}/new-{number}")
+        for older in range(number, 0, -1):
+            files.move(f"{log}.{older - 1}" if older > 1 else log, f"{log}.{older}")
+        files.move(files.glob(f"{folder}/new-{number}/part-*")[0], log)
+        if number != 1:
+            stream = oplog.parse_log(tables.stream_log_text(spark, log))
+            aggregates.start_side_table(stream, f"{root}/rows", f"{root}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+    return plain(oplog.level_counts(spark.read.parquet(f"{root}/rows")))
+
+
 @registered
 def log_levels(spark, sf_dir):
     return plain(oplog.level_counts(_logs(spark, sf_dir)))
@@ -483,24 +521,34 @@ def _ingested(spark: SparkSession, sf_dir: str, spike_options: dict | None = Non
     return paths
 
 
-def _side_table(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
-    """A stream of changes run to its end; the last change of each key."""
-    root = scratch_path(spark, "stream")
-    aggregates.start_side_table(stream, f"{root}/rows", f"{root}/checkpoint", "update", AVAILABLE_NOW).awaitTermination()
-    return windows.latest_per_key(spark.read.parquet(f"{root}/rows"), keys, ["batch"]).drop("batch")
+def _in_parts(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery], late: bool = True) -> None:
+    """Runs a stream over the events in files by time, with a restart before each. If ``late``, the first two quarters
+    change places and an eighth of every quarter comes one file after its time."""
+    folder, events = scratch_path(spark, "events"), adapters.events(spark, sf_dir)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(us, [0.25, 0.5, 0.75])).first()[0]
+    part = sum(((us >= cut).cast("int") for cut in cuts), F.lit(0))
+    if late:
+        part = F.when(part < 2, 1 - part).otherwise(part) + (F.col("event_id") % 8 == 0).cast("int")
+    for number in range(5 if late else 4):
+        events.where(part == number).write.mode("append").parquet(folder)
+        start(spark.readStream.schema(events.schema).parquet(folder)).awaitTermination()
 
 
-def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Voltage alerts, oversized packets and floods of one stream, as alert rows: the alerts that the packet analysis
-    lands are streamed on."""
+def _totals(spark: SparkSession, sf_dir: str, rows_of: Callable[[DataFrame], DataFrame], spec: partials.Mergeable) -> DataFrame:
+    """A mergeable aggregate over a stream with late files and restarts, folded on the way."""
     root = scratch_path(spark, "stream")
-    flat = adapters.readings_of(adapters.events_stream(spark, sf_dir))
-    packet_stream.start_packet_analysis(
-        adapters.packets_of(flat), f"{root}/flows", f"{root}/state", f"{root}/checkpoint", f"{root}/alerts",
-        trigger=AVAILABLE_NOW,
-    ).awaitTermination()
-    landed = f"{correlation.LANDED.removesuffix(', uid long')}, batch long"
-    return correlate.union_alerts(decode.voltage_alerts(flat), spark.readStream.schema(landed).parquet(f"{root}/alerts"))
+    _in_parts(spark, sf_dir, lambda events: partials.start_partials(
+        rows_of(events), spec, f"{root}/parts", f"{root}/checkpoint", AVAILABLE_NOW, fold_every=4
+    ))
+    return partials.totals(spark, spec, f"{root}/parts")
+
+
+def _packet_analysis(spark: SparkSession, root: str, events: DataFrame) -> StreamingQuery:
+    packets = adapters.packets_of(adapters.readings_of(events))
+    return packet_stream.start_packet_analysis(
+        packets, f"{root}/flows", f"{root}/state", f"{root}/packets", f"{root}/alerts", trigger=AVAILABLE_NOW
+    )
 
 
 @registered
@@ -513,14 +561,16 @@ def stream_ingest(spark, sf_dir):
 
 @registered
 def stream_ingest_late(spark, sf_dir):
-    """The later half of the records first, then the earlier half, then copies of some; a restart before each."""
+    """The later half of the records first, then the earlier half, then copies of some, in 20 batches; a restart before
+    each half."""
     source, paths = scratch_path(spark, "topic"), ingest.Paths(scratch_path(spark, "ingest"))
     messages = adapters.messages(spark, sf_dir)
     middle = messages.agg(F.percentile_approx(F.unix_micros("timestamp"), 0.5)).first()[0]
     late = F.unix_micros("timestamp") < middle
-    for part in (~late, late, ~late & (F.col("offset") % 3 == 0)):
-        publish_files(messages.where(part), source)
-        ingest.start_ingest(topic.stream_topic_files(spark, source), paths, AVAILABLE_NOW).awaitTermination()
+    for part, files in ((~late, 8), (late, 8), (~late & (F.col("offset") % 3 == 0), 4)):
+        publish_files(messages.where(part).repartition(files, "offset"), source)
+        stream = topic.stream_topic_files(spark, source, files_per_trigger=1)
+        ingest.start_ingest(stream, paths, AVAILABLE_NOW).awaitTermination()
     rows = tables.telemetry(spark, paths.table)
     return plain(rows.select(*telemetry_sink.COLUMNS)).withColumn(
         "voltage_v", F.nanvl("voltage_v", F.lit(None).cast("double"))
@@ -549,61 +599,76 @@ def stream_alerts(spark, sf_dir):
 @registered
 def stream_rollup(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    readings = adapters.stored(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
-    aggregates.start_rollup(readings, f"{root}/changes", f"{root}/checkpoint", AVAILABLE_NOW).awaitTermination()
+
+    def start(events: DataFrame) -> StreamingQuery:
+        readings = adapters.stored(adapters.readings_of(events))
+        return aggregates.start_rollup(readings, f"{root}/changes", f"{root}/checkpoint", AVAILABLE_NOW)
+
+    _in_parts(spark, sf_dir, start)
     return plain(aggregates.latest_changes(spark, f"{root}/changes"), **ROLLUP_DIGITS)
 
 
+@registered
+def stream_rollup_folded(spark, sf_dir):
+    """Only buckets that the closing gate has let through: those that ended five minutes before the newest event."""
+    root = scratch_path(spark, "stream")
+    folders = [f"{root}/{name}" for name in ("parts", "gate", "rollup", "late", "checkpoint")]
+    _in_parts(spark, sf_dir, lambda events: closing.start_closing(
+        adapters.stored(adapters.readings_of(events)), *folders, trigger=AVAILABLE_NOW
+    ))
+    return plain(materialized.view(spark, f"{root}/rollup"), **ROLLUP_DIGITS)
+
+
 @registered
 def stream_packets(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    packets = adapters.packets_of(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
-    packet_stream.start_packet_analysis(
-        packets, f"{root}/flows", f"{root}/state", f"{root}/checkpoint", trigger=AVAILABLE_NOW
-    ).awaitTermination()
+    _in_parts(spark, sf_dir, lambda events: _packet_analysis(spark, root, events), late=False)
     return plain(spark.read.parquet(f"{root}/flows").drop("batch"))
 
 
 @registered
 def stream_packet_alerts(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    packets = adapters.packets_of(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
-    packet_stream.start_packet_analysis(
-        packets, f"{root}/flows", f"{root}/state", f"{root}/checkpoint", f"{root}/alerts", trigger=AVAILABLE_NOW
-    ).awaitTermination()
+    _in_parts(spark, sf_dir, lambda events: _packet_analysis(spark, root, events), late=False)
     return plain(spark.read.parquet(f"{root}/alerts").drop("batch"))
 
 
 @registered
 def stream_sliding_mean(spark, sf_dir):
-    readings = adapters.readings_of(adapters.events_stream(spark, sf_dir))
-    means = _side_table(spark, aggregates.sliding_mean(readings), ["window_start", "window_end", "device_id"])
+    means = _totals(spark, sf_dir, adapters.readings_of, partials.sliding_mean())
     return plain(means, "rolling_voltage", rolling_sd=6)
 
 
 @registered
 def stream_throughput(spark, sf_dir):
-    records = adapters.messages_of(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
-    return plain(_side_table(spark, aggregates.streaming_throughput(records), ["bucket", "partition"]))
+    def records(events: DataFrame) -> DataFrame:
+        return adapters.messages_of(adapters.readings_of(events))
+
+    return plain(_totals(spark, sf_dir, records, partials.throughput()))
 
 
 @registered
 def stream_alert_counts(spark, sf_dir):
-    counts = aggregates.streaming_alert_counts(_alert_stream(spark, sf_dir))
-    return plain(_side_table(spark, counts, ["bucket", "source", "reason"]))
+    """Voltage alerts of the stream and, as a second source, the alerts that the packet analysis lands."""
+    root, spec = scratch_path(spark, "stream"), partials.alert_counts()
+    landed = f"{correlation.LANDED.removesuffix(', uid long')}, batch long"
 
+    def start(events: DataFrame) -> StreamingQuery:
+        _packet_analysis(spark, root, events).awaitTermination()
+        network_alerts = spark.readStream.schema(landed).parquet(f"{root}/alerts")
+        alerts = correlate.union_alerts(decode.voltage_alerts(adapters.readings_of(events)), network_alerts)
+        return partials.start_partials(alerts, spec, f"{root}/parts", f"{root}/checkpoint", AVAILABLE_NOW, fold_every=3)
 
-@registered
-def stream_log_levels(spark, sf_dir):
-    lines = adapters.log_lines_of(adapters.readings_of(adapters.events_stream(spark, sf_dir)))
-    counts = aggregates.streaming_level_counts(oplog.parse_log(lines))
-    return plain(_side_table(spark, counts, ["bucket", "level", "logger"]))
+    _in_parts(spark, sf_dir, start, late=False)
+    return plain(partials.totals(spark, spec, f"{root}/parts"))
 
 
 @registered
-def stream_coincident_alerts(spark, sf_dir):
-    found = aggregates.coincident_alerts(_alert_stream(spark, sf_dir))
-    return plain(_side_table(spark, found, ["window_start", "window_end"]))
+def stream_log_levels(spark, sf_dir):
+    def events_of(events: DataFrame) -> DataFrame:
+        return oplog.parse_log(adapters.log_lines_of(adapters.readings_of(events)))
+
+    return plain(_totals(spark, sf_dir, events_of, partials.level_counts()))
 
 
 @registered

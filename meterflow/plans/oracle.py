@@ -238,7 +238,8 @@ SELECT event_id, round(h, 9) AS hour, round(f, 9) AS load_factor, round(ea, 9) A
   round(abs(voltage_v - ev) / 0.3::DOUBLE, 6) AS voltage_residual, round(abs(current_a - ea) / 0.5::DOUBLE, 6) AS current_residual
 FROM y""",
     "surge_signature": _with(_TEL, _STORED) + """SELECT event_id, device_id, voltage_v::DOUBLE AS voltage_v, current_a::DOUBLE AS current_a
-FROM sto WHERE voltage_v BETWEEN 145 AND 155 AND current_a <= 0.5 AND event_id % 3 = 0""",
+FROM (SELECT event_id, device_id, (voltage_v + 25)::REAL AS voltage_v, (current_a / 20)::REAL AS current_a FROM tel
+  WHERE event_type = 'error') AS tripped WHERE voltage_v BETWEEN 145 AND 155 AND current_a <= 0.5""",
     "rolling_avg_10s": _with(_TEL) + f"""SELECT event_id, device_id, count(*) OVER w AS readings,
   {_mean("avg(voltage_v) OVER w")} AS rolling_voltage FROM tel
 WINDOW w AS (PARTITION BY device_id ORDER BY timestamp RANGE BETWEEN INTERVAL 10 SECONDS PRECEDING AND CURRENT ROW)""",
@@ -328,12 +329,6 @@ FROM lg WHERE kind IN (5, 6) GROUP BY 1""",
     - to_seconds(unnest(range(10))) AS ws FROM tel)
 SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 10 SECONDS')} AS window_end, device_id, count(*) AS readings,
   {_mean("avg(voltage_v)")} AS rolling_voltage, round(stddev_samp(voltage_v), 6) AS rolling_sd FROM s GROUP BY ws, device_id""",
-    "stream_coincident_alerts": _with(_TEL, _ALERTS) + f""", s AS (
-  SELECT *, time_bucket(INTERVAL '5 seconds', alert_time) - to_seconds(5 * unnest(range(6))) AS ws FROM al),
-w AS (SELECT ws, count(*) FILTER (source = 'network') AS network_alerts, count(*) FILTER (source = 'telemetry') AS telemetry_alerts,
-    min(alert_time) FILTER (source = 'network') AS fn, max(alert_time) FILTER (source = 'telemetry') AS lt FROM s GROUP BY ws)
-SELECT {_time('ws')} AS window_start, {_time('ws + INTERVAL 30 SECONDS')} AS window_end, network_alerts, telemetry_alerts,
-  {_time('fn')} AS first_network_alert, {_time('lt')} AS last_telemetry_alert FROM w WHERE fn <= lt""",
 }
 
 ORACLES["stream_packet_alerts"] = ORACLES["packet_alerts"]
@@ -348,6 +343,12 @@ ORACLES["stream_alert_counts"] = ORACLES["alert_counts"]
 ORACLES["stream_alert_correlation"] = ORACLES["alert_correlation"]
 ORACLES["stream_throughput"] = ORACLES["throughput_5s"]
 ORACLES["stream_log_levels"] = ORACLES["log_levels"]
+ORACLES["stream_rollup_folded"] = _with(_TEL, _STORED) + f"""SELECT * FROM ({_rollup("sto")}) AS r
+WHERE strptime(bucket, '%Y-%m-%d %H:%M:%S.%f') + INTERVAL 10 MINUTES
+  <= (SELECT time_bucket(INTERVAL '5 minutes', max(timestamp)) FROM sto)"""
+ORACLES["stream_rotated_log"] = ORACLES["log_levels"]
+ORACLES["log_extras"] = """SELECT cast(event_id AS INTEGER) AS line, event_id AS number, value, event_type AS tag,
+  user_id || ',' || event_id AS ids FROM events"""
 ORACLES["stream_enrich"] = ORACLES["device_enrich"]
 ORACLES["stream_alerts"] = _with(_TEL, _MESSAGES, _ACCEPTED) + f""", b AS (
   SELECT device_id, timestamp, voltage_v, count(voltage_v) OVER w AS n, avg(voltage_v::DOUBLE) OVER w AS m,

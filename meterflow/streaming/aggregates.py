@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterflow.operators.oplog import level_counts
 from meterflow.operators.rollup import alert_counts, device_rollup, throughput
 from meterflow.sinks.rollup import CLOSE_AFTER, WIDTH, write_buckets
-from meterflow.sinks.table import compact_side, write_side_batch
+from meterflow.sinks.table import compact_side, last_batch, write_side_batch
 from meterflow.sources.tables import _utc
 
 LATENESS = "1 hour"
@@ -36,10 +36,9 @@ def start_rollup(readings: DataFrame, changes: str, checkpoint: str, trigger: di
 
 
 def newest_changes(log: DataFrame) -> DataFrame:
-    """Per bucket and device the change of the last batch. Folded batches have negative numbers: any later batch
-    goes before them."""
+    """Per bucket and device the change of the last batch."""
     values = [c for c in log.columns if c not in ("bucket", "device_id", "batch")]
-    newest = F.max_by(F.struct(*values), F.col("batch")).alias("_v")
+    newest = F.max_by(F.struct(*values), last_batch(F.col("batch"))).alias("_v")
     return log.groupBy("bucket", "device_id").agg(newest).select("bucket", "device_id", "_v.*")
 
 
@@ -77,6 +76,10 @@ def sliding_mean(readings: DataFrame, lateness: str = LATENESS, width: str = "10
     )
 
 
+# Rows behind the watermark are dropped below; ``lateness.DroppedRows`` counts them per batch. Where no row may be lost,
+# ``partials`` has the same aggregates without a state.
+
+
 def streaming_throughput(records: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return throughput(records.withWatermark("timestamp", lateness))
 
@@ -89,28 +92,6 @@ def streaming_level_counts(events: DataFrame, lateness: str = LATENESS) -> DataF
     return level_counts(events.withWatermark("event_time", lateness))
 
 
-def coincident_alerts(alerts: DataFrame, lateness: str = LATENESS, width: str = "30 seconds", step: str = "5 seconds"):
-    """Windows of a united alert stream in which a telemetry alert follows a network alert.
-
-    One aggregate over the union takes the place of a stream-stream join, which would write every pair.
-    """
-    network = F.col("source") == "network"
-    telemetry = F.col("source") == "telemetry"
-    return (
-        alerts.withWatermark("alert_time", lateness)
-        .groupBy(F.window("alert_time", width, step))
-        .agg(
-            F.count_if(network).alias("network_alerts"),
-            F.count_if(telemetry).alias("telemetry_alerts"),
-            F.min(F.when(network, F.col("alert_time"))).alias("first_network_alert"),
-            F.max(F.when(telemetry, F.col("alert_time"))).alias("last_telemetry_alert"),
-        )
-        .where(F.col("first_network_alert") <= F.col("last_telemetry_alert"))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                "network_alerts", "telemetry_alerts", "first_network_alert", "last_telemetry_alert")
-    )
-
-
 def start_side_table(rows: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None):
     """Any stream into a side table, repeatable per batch."""
     return (
