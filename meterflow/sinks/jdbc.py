@@ -7,13 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 # Attempts and first pause; the pause doubles.
 ATTEMPTS = 3
 FIRST_PAUSE_SEC = 1.0
-# SQL states of class 08 are connection errors; 57P01 to 57P03 are a server going down or coming up.
-_TRANSIENT = ("SQLTransientConnectionException", "SQLNonTransientConnectionException", "SQLRecoverableException",
-              "ConnectException", "SocketTimeoutException", "57P01", "57P02", "57P03")
+# The class of SQL states that are connection errors, and those of a server going down or coming up.
+CONNECTION_CLASS = "08"
+SERVER_STATES = ("57P01", "57P02", "57P03")
+# Errors of the network itself, which carry no SQL state.
+_NETWORK = ("java.net.ConnectException", "java.net.SocketException", "java.net.SocketTimeoutException", "java.io.EOFException")
+_TRANSIENT = ("java.sql.SQLTransientConnectionException", "java.sql.SQLNonTransientConnectionException", "java.sql.SQLRecoverableException")
 
 
 def writer_options(url: str, table: str, user: str, password: str, batch_rows: int = 10_000, writers: int = 16):
@@ -23,8 +27,38 @@ def writer_options(url: str, table: str, user: str, password: str, batch_rows: i
     }
 
 
-def is_transient(error: Exception) -> bool:
-    return isinstance(error, (ConnectionError, TimeoutError)) or any(mark in str(error) for mark in _TRANSIENT)
+def _java(error: BaseException):
+    """The Java exception behind an error of Spark or of its gateway."""
+    return getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+
+
+def causes(error: BaseException) -> list[tuple[tuple[str, ...], str | None]]:
+    """Class names (with those above) and SQL state of an error's Java exception and of all that caused it."""
+    found, at, seen = [], _java(error), set()
+    while at is not None and at.hashCode() not in seen:
+        seen.add(at.hashCode())
+        names, kind = [], at.getClass()
+        while kind is not None:
+            names.append(kind.getName())
+            kind = kind.getSuperclass()
+        found.append((tuple(names), at.getSQLState() if "java.sql.SQLException" in names else None))
+        at = at.getCause()
+    return found
+
+
+def is_transient(error: BaseException) -> bool:
+    """Connection errors, by the SQL states and classes of the cause chain. Texts decide only where there is no Java
+    exception to ask: there the name of a connection error's class has to stand before the message."""
+    if isinstance(error, (ConnectionError, TimeoutError)):
+        return True
+    chain = causes(error)
+    states = [state for _, state in chain if state]
+    if states:
+        return any(state.startswith(CONNECTION_CLASS) or state in SERVER_STATES for state in states)
+    names = {name for own, _ in chain for name in own}
+    if chain:
+        return not names.isdisjoint((*_TRANSIENT, *_NETWORK))
+    return any(f"{name}:" in str(error) for name in (*_TRANSIENT, *_NETWORK))
 
 
 def with_retry(
@@ -61,6 +95,19 @@ def append_once(spark_batch: DataFrame, batch_id: int, options: dict[str, str],
     with_retry(attempt)
 
 
+def start_database_append(
+    rows: DataFrame, options: dict[str, str], ledger_table: str, checkpoint: str, trigger: dict | None = None,
+    append: Callable[[DataFrame, int, dict[str, str], str], None] = append_once,
+) -> StreamingQuery:
+    """A stream into an external table, every batch once. ``append`` is what writes a batch."""
+    return (
+        rows.writeStream.foreachBatch(lambda batch, batch_id: append(batch, batch_id, options, ledger_table))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .start()
+    )
+
+
 def visible(staging: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of the writes that the ledger names, once per batch."""
     done = ledger.groupBy("batch_id").agg(F.min("write_id").alias("write_id"))
