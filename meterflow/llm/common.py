@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import functools
 import gc
 import sys
 from collections.abc import Callable, Iterator
@@ -50,12 +49,22 @@ def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
     return tidied
 
 
-def tidy_calls(work: Callable) -> Callable:
-    """The same for a function that is called for a group at a time."""
+def tidy_group(work: Callable) -> Callable:
+    """The same for a function that is called for a group at a time. Spark counts the arguments."""
 
-    @functools.wraps(work)
-    def tidied(*groups):
-        made = work(*groups)
+    def tidied(group):
+        made = work(group)
+        release()
+        return made
+
+    return tidied
+
+
+def tidy_pair(work: Callable) -> Callable:
+    """The same for a function of two groups."""
+
+    def tidied(left, right):
+        made = work(left, right)
         release()
         return made
 

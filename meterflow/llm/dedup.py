@@ -101,7 +101,8 @@ def decisions(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_copies(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``frame`` that stay, with its columns as they are; the rules are those of ``decisions``.
 
-    Whole rows move only where the filter holds their text possible to repeat.
+    Rows that tie in length and id are told by a digest of all their columns, so that a rerun keeps the same. Whole rows
+    move only where the filter holds their text possible to repeat.
     """
     text = F.col(f"`{text_col}`")
     tagged = frame.select(
@@ -116,7 +117,10 @@ def drop_copies(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     best = stored(_groups(possible.drop("row")), "groups").select(
         F.col("sha").alias("of"), (-F.col("best.n")).alias("best_n"), F.col("best.id").alias("best_id")
     )
-    kept = possible.join(best, F.col("sha") == F.col("of")).filter(
+    tied = possible.join(best, F.col("sha") == F.col("of")).filter(
         (F.col("n") == F.col("best_n")) & F.col("id").eqNullSafe(F.col("best_id"))
-    ).dropDuplicates(["sha"])
+    ).withColumn("whole", F.sha2(F.to_json("row").cast("binary"), 256))
+    # One row per repeated text; of rows that agree in everything any one stays.
+    first = stored(tied.groupBy("sha").agg(F.min("whole").alias("least")), "ties").select(F.col("sha").alias("tied"), "least")
+    kept = tied.join(first, (F.col("sha") == F.col("tied")) & (F.col("whole") == F.col("least"))).dropDuplicates(["sha"])
     return flagged.filter(~F.col("possible")).select("row.*").unionAll(kept.select("row.*"))

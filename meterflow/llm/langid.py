@@ -136,7 +136,11 @@ def expected(word: str, lattice: Lattice, language: int) -> Iterator[tuple[str,
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters in lower case. Numbers that are no digits, such as a half or a square, are no letters either."""
+    runs = LETTERS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def _learned(rows: DataFrame, fit_rows: int) -> DataFrame:
@@ -271,17 +275,39 @@ def _scored(frame: DataFrame, texts: Callable[[pa.RecordBatch], pa.Array], langu
 
 def learn(frame: DataFrame, vocabulary_path: str, trains: Column, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> tuple[list[str], Lattice]:
-    """Fits on the rows that ``trains`` selects; rows for which it is null are not learned from."""
+    """Fits on the rows that ``trains`` selects; rows for which it is null are not learned from.
+
+    Null texts and null languages teach nothing; repeated rows count as often as they occur. An empty table, or one
+    without a language, gives no languages, and everything is ``und`` then.
+    """
     rows = frame.filter(trains).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
     )
     return fit(rows, vocabulary_path, fit_rows)
 
 
+def _judged(frame: DataFrame, languages: list[str], lattice: Lattice, text_col: str) -> DataFrame:
+    """(row, lang_pred, score): every row as one struct, so that no name can clash, in one pass and without a join."""
+    whole = frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"))
+    at = frame.columns.index(text_col)
+    return _scored(whole, lambda batch: batch.column(0).field(at), languages, lattice)
+
+
 def label(frame: DataFrame, languages: list[str], lattice: Lattice, text_col: str = "text") -> DataFrame:
-    """The rows of ``frame`` with ``lang_pred`` and ``lang_score`` added, in one pass and without a join."""
-    names = [c for c in frame.columns if c not in ("lang_pred", "lang_score")]
-    whole = frame.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    at = names.index(text_col)
-    scored = _scored(whole, lambda batch: batch.column(0).field(at), languages, lattice)
-    return scored.select("row.*", "lang_pred", F.col("score").alias("lang_score"))
+    """The rows of ``frame`` with ``lang_pred`` and ``lang_score`` added; the rules are those of ``predict``.
+
+    A frame that has a column of these names already is refused with a ValueError. An empty table gives no rows.
+    """
+    taken = {"lang_pred", "lang_score"} & set(frame.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are there already")
+    return _judged(frame, languages, lattice, text_col).select("row.*", "lang_pred", F.col("score").alias("lang_score"))
+
+
+def in_a_language(frame: DataFrame, languages: list[str], lattice: Lattice, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``frame`` whose language is one of the learned with at least this score, with their columns as they are.
+
+    Null texts and texts without a letter are in none; repeated rows are judged each; columns of any name stay.
+    """
+    judged = _judged(frame, languages, lattice, text_col)
+    return judged.filter((F.col("lang_pred") != NONE) & (F.col("score") >= least)).select("row.*")

@@ -154,21 +154,26 @@ def source_table(plans: DataFrame) -> DataFrame:
 def mix(frame: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The mixed documents: the columns of ``frame``, a row per copy taken; documents not taken are left out.
 
-    A document is matched to its decision by the same seeded hash of id and text that ordered it; rows that agree in
-    both and in their source are put together and taken as often as all of them.
+    A document is matched to its decision by the same seeded hash of id and text that ordered it. Rows that agree in
+    both and in their source are taken as often as all of them together: each as often as the others, and what is left
+    over by a digest of all columns, so that reruns agree. Null sources are a source; an empty table gives no rows.
     """
     plans = plan(frame, F.array(F.col(f"`{source_col}`").cast("string")), id_col, text_col)
     per = plans.groupBy(F.col("luck").alias("of_luck"), F.element_at("members", 1).alias("of_source")).agg(
-        F.sum("copies").alias("copies")).filter("copies > 0")
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).filter("copies > 0")
     rows = frame.select(
         F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"),
         F.col(f"`{source_col}`").cast("string").alias("its_source"),
         F.xxhash64(F.lit(0), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("luck"),
     )
     one = rows.join(per, (F.col("luck") == F.col("of_luck")) & F.col("its_source").eqNullSafe(F.col("of_source")))
-    same = one.groupBy("luck", "its_source").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(
-        F.col("luck").alias("s_luck"), F.col("its_source").alias("s_source"))
-    alone = one.join(same, (F.col("luck") == F.col("s_luck")) & F.col("its_source").eqNullSafe(F.col("s_source")), "left_anti")
-    joint = one.join(same, (F.col("luck") == F.col("s_luck")) & F.col("its_source").eqNullSafe(F.col("s_source")), "left_semi")
-    joint = joint.dropDuplicates(["luck", "its_source"])
-    return alone.unionByName(joint).select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    alone = one.filter("rows = 1").select("row", F.col("copies").cast("long").alias("copies"))
+    # Identical rows are one row with their number before anything is ordered.
+    joint = one.filter("rows > 1").withColumn("whole", F.sha2(F.to_json("row").cast("binary"), 256))
+    joint = joint.groupBy("luck", "its_source", "whole").agg(
+        F.first("row").alias("row"), F.count(F.lit(1)).alias("same"), F.first("rows").alias("rows"), F.first("copies").alias("copies"))
+    before = F.expr("coalesce(sum(same) OVER (PARTITION BY luck, its_source ORDER BY whole ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
+    joint = joint.withColumn("over", F.expr("copies % rows") - before).select(
+        "row", (F.col("same") * F.expr("copies div rows") + F.least("same", F.greatest(F.col("over"), F.lit(0)))).alias("copies"))
+    taken = alone.unionByName(joint).filter("copies > 0")
+    return taken.select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")

@@ -11,9 +11,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterflow.llm import dedup
-from meterflow.llm.common import ship, small_batches, stored, tidy, tidy_calls
+from meterflow.llm.common import ship, small_batches, stored, tidy, tidy_group, tidy_pair
 from meterflow.llm.components import components
 
 ship(__name__)
@@ -39,7 +40,6 @@ CALL_ROWS = 50_000
 BITMAP_WORDS, REMEMBERED = 1 << 20, 1 << 19
 #: Bits of the filter that picks the texts to read again: its size is fixed, and a fuller filter only passes more texts.
 FILTER_BITS = 1 << 26
-NO_ID = -(1 << 63)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -203,9 +203,11 @@ def _sign_partition(buckets: int, frequent):
     def flush(ids: list, sets: list[np.ndarray]) -> Iterator[tuple]:
         nodes = np.array([node_of(s) if len(s) else 0 for s in sets], np.int64)
         sizes = np.array([len(s) for s in sets], np.int64)
-        known = np.array([NO_ID if i is None else i for i in ids], np.int64)
+        known = np.array([0 if i is None else i for i in ids], np.int64)
         home = int(nodes[0]) % buckets
-        yield home, "facts", known.tobytes(), nodes.tobytes(), sizes.tobytes()
+        # A set of a row without an id has its size below zero here.
+        signed = np.where(np.array([i is None for i in ids], bool), -1 - sizes, sizes)
+        yield home, "facts", known.tobytes(), nodes.tobytes(), signed.tobytes()
         _, first = np.unique(nodes, return_index=True)
         first = first[sizes[first] > 0]
         own = nodes[first]
@@ -293,7 +295,8 @@ def _meet(buckets: int):
                 members.append(np.frombuffer(packed, np.int64))
                 hits.append(times)
         none, blank = [None] * len(keys), [None] * len(facts[0])
-        ids = pa.array(facts[0], pa.int64(), mask=facts[0] == NO_ID)
+        ids = pa.array(facts[0], pa.int64(), mask=facts[2] < 0)
+        facts[2] = np.where(facts[2] < 0, -1 - facts[2], facts[2])
         return pa.table({
             "doc_id": pa.concat_arrays([ids, pa.array(none, pa.int64())]),
             "node": pa.concat_arrays([pa.array(facts[1], pa.int64()), pa.array(none, pa.int64())]),
@@ -553,7 +556,7 @@ def _rest(runs: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     def called(work, rows: DataFrame, things: DataFrame, columns: list[str], kind: str, name: str) -> DataFrame:
         used = rows.select(F.col("call").alias("its_call"), F.col("node").alias("name")).distinct()
         used = _with(used, "name", things, columns, "")
-        return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(tidy_calls(work), kind), name)
+        return stored(rows.groupBy("call").cogroup(used.groupBy("its_call")).applyInArrow(tidy_pair(work), kind), name)
 
     kept = called(_sieve, tasks, sets, ["size", "bits"], TASK, "sieved")
     own = _elements(sets, kept.select(F.col("node").alias("key")))
@@ -567,13 +570,17 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     runs of five words, or the whole sequence if there are fewer. Two documents link when their sets have a Jaccard
     similarity of at least 0.8; ``component_id`` is the smallest id that links reach. Null texts and texts without words
     have no shingles, link with nothing and are components of their own, as are rows with a null id unless their text
-    links them. Repeated ids are documents of their own that share a name. An empty table gives no rows.
+    links them. Repeated ids are documents of their own that share a name. Ids have to be integers; others are refused with
+    a TypeError. An empty table gives no rows.
 
     Documents with the same set are one node, named by a hash of it. Nodes sign by PartEnum, so that every linked
     pair shares a signature. Equal signatures meet in buckets of bounded size; those of one batch are joined before,
     so that a signature of very many documents brings one entry per batch. The nodes of a run are compared with its
     first; only where that leaves a run in several components are the members compared with each other, block by block.
     """
+    kind = frame.select(F.col(f"`{id_col}`").alias("id")).schema[0].dataType
+    if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"{id_col} has to be an integer, not {kind.simpleString()}: number the rows first")
     small_batches(frame.sparkSession)
     rows = frame.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     letters = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -581,7 +588,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     buckets = max(16, -(-letters // (6 * BUCKET_SIGNATURES)))
     frequent = frame.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
     sent = rows.mapInArrow(tidy(_sign_partition(buckets, frequent)), "bucket int, kind string, one binary, two binary, three binary")
-    found = stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_calls(_meet(buckets)), FOUND), "runs")
+    found = stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(_meet(buckets)), FOUND), "runs")
     facts = found.filter(F.col("n").isNotNull()).select("doc_id", "node", "n")
     runs = found.filter(F.col("members").isNotNull()).select("key", "members", "hits")
 

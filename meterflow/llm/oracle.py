@@ -9,8 +9,44 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# A lower-cased line that begins with one of these ways of naming a right is a notice, told without looking ahead: DuckDB's
+# patterns cannot. Words that follow "copyright" in prose are listed by hand, apart from the operator's own.
+_HEAD = r"^[^\p{L}\p{N}]*"
+_PROSE = (
+    "a about agreement agreements an and any are applies as at be because but can claim claims disclaimer disclaimers doctrine "
+    "doctrines does exception exceptions for from grant grants has have holder holders if in infringement infringements interest "
+    "interests is issue issues it its law laws legislation licence license licences licenses line lines may must nor not notice "
+    "notices of on or owner owners ownership patent patents permission permissions protection protects right rights rules shall "
+    "should statement statements status such term terms than that this to trademark trademarks treaty treaties under was were "
+    "which who will with without you your"
+).split()
+_FUNCTION = (
+    "a all an any are as at be do does each every for from has have if in is it its may must no not of on or shall such that the "
+    "their this to under use was when where which will with you your"
+).split()
+_THE = "software work works program library document material materials code".split()
+
+
+def _is_notice(line: str) -> str:
+    def matches(pattern: str, of: str = line) -> str:
+        return f"regexp_matches({of}, {_quoted(pattern)})"
+
+    dated = matches(_HEAD + r"((copyright|©|\(c\))[ \t:,-]*){1,4}(by[ \t]+)?([0-9]{4}([^0-9]|$)|[<\[{$%]|(year|yyyy)\b)")
+    signed = matches(_HEAD + r"(copyright[ \t:]*(©|\(c\))|\(c\)[ \t]*copyright\b|©)[ \t:,-]*[\p{L}\p{N}]")
+    named = matches(_HEAD + r"copyright[ \t:]+[\p{L}\p{N}]")
+    prose = matches(_HEAD + rf"copyright[ \t:]+(({'|'.join(_PROSE)})\b|the[ \t]*$|the[ \t]+({'|'.join(_THE)})\b)")
+    # A bare (c) before one to six words that are no function words, and then the end or a line on rights.
+    words = f"regexp_extract_all(regexp_extract({line}, {_quoted(_HEAD + r'[(]c[)][ 	]+([^ 	,;].*)$')}, 1), '[^\\s,;]+[ \\t,;]*')"
+    function = matches(rf"^({'|'.join(_FUNCTION)})\b", "w")
+    first = f"least(6, coalesce(nullif(list_position(list_transform({words}, lambda w: {function}), true), 0) - 1, len({words})))"
+    rest = f"array_to_string(list_slice({words}, {first} + 1, len({words})), '')"
+    bare = f"({first} > 0 AND ({rest} = '' OR starts_with({rest}, 'all rights reserved')))"
+    return f"({dated} OR {signed} OR ({named} AND NOT {prose}) OR {bare})"
+
+
 def _canonical(text: str) -> str:
-    body = rf"regexp_replace(lower(coalesce({text}, '')), '(?m)^[^\p{{L}}\p{{N}}\n]*(copyright|©|\(c\))[^\n]*$', ' ', 'g')"
+    lines = f"string_split(lower(coalesce({text}, '')), chr(10))"
+    body = f"array_to_string(list_transform({lines}, lambda l: CASE WHEN {_is_notice('l')} THEN ' ' ELSE l END), chr(10))"
     body = rf"' ' || regexp_replace({body}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' '"
     for one, other in SPELLINGS:
         body = f"replace({body}, ' {one} ', ' {other} ')"

@@ -254,8 +254,9 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
         tokens = Tokens(tokenizer, end_id)
         sequence = TaskContext.get().partitionId() << 36
         waiting: list[tuple] = []
+        kind = None
         for batch in batches:
-            made: list[tuple] = []
+            kind, made = batch.column(0).type, []
             content, bounds = tokens.batch([text or "" for text in batch.column(1).to_pylist()])
             for doc, low, high in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
                 ids = content[low:high].tobytes()
@@ -272,13 +273,13 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
                     made.extend(rows)
                     waiting = []
                 if len(made) >= CHUNK:
-                    yield as_batch(made)
+                    yield as_batch(made, kind)
                     made = []
             if made:
-                yield as_batch(made)
+                yield as_batch(made, kind)
         rows, sequence = settle(waiting, sequence)
         if rows:
-            yield as_batch(rows)
+            yield as_batch(rows, kind)
 
     def settle(waiting: list[tuple], sequence: int) -> tuple[list[tuple], int]:
         rows = []
@@ -291,13 +292,11 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
             sequence += 1
         return rows, sequence
 
-    kind = frame.select(F.col(f"`{id_col}`").alias("id")).schema[0].dataType
-    arrow = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
-    types = [arrow, *[pa.int64()] * 5, pa.binary()]
     names = [id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
-    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    def as_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        types = [kind, *[pa.int64()] * 5, pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return narrow.mapInArrow(tidy(work), f"`{id_col}` {kind.simpleString()}, {SCHEMA}")
+    return narrow.mapInArrow(tidy(work), f"`{id_col}` {narrow.schema[0].dataType.simpleString()}, {SCHEMA}")

@@ -1,22 +1,27 @@
-"""Personal data: exact patterns, and further spans by labelers whose reliabilities are learned without labels."""
+"""Personal data: exact patterns, and further spans by labelers whose reliabilities are learned without labels.
+
+Each kind of further spans (secrets here, the others in ``pii_kinds``) has its own candidates and labelers; reliabilities
+and the final classifier are learned kind by kind.
+"""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import ship, stored, tidy
+from meterflow.llm.common import ship, small_batches, stored, tidy
+from meterflow.llm.pii_kinds import OTHERS, Kind
 
 ship(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
-#: The kind of the spans that the labelers vote on.
-LEARNED = "secret"
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -41,6 +46,8 @@ BEFORE_WORD = re.compile(r"([^\W\d]+)\W*\Z")
 #: Labelers in order: key form, gazetteer of names, context, mix of characters.
 LABELERS = 4
 ROUNDS = 50
+#: Weight of the belief in the labelers of all kinds but secrets, whose candidates are many and mostly none.
+TRUST = 1.0
 
 
 def _luhn(digits: str) -> bool:
@@ -124,19 +131,25 @@ def features(text: str, start: int, end: int) -> str:
     shape = "".join(c for c, there in zip("Aa9_", (
         any(x.isupper() for x in token), any(x.islower() for x in token), any(x.isdigit() for x in token),
         any(not x.isalnum() for x in token))) if there)
-    share = 4 * sum(c.isdigit() for c in token) // len(token)
+    share, head = 4 * sum(c.isdigit() for c in token) // len(token), token[:2]
+    # No feature holds the sign that parts them, and none but the first two letters is free.
     around = [c if c in "=:\"'@./" else "s" if c.isspace() else "x" for c in (text[start - 1 : start] or " ", text[end : end + 1] or " ")]
-    return "|".join((str(min(len(token) // 4, 12)), shape, str(share), *around, token[:2] if token[:2].isupper() else ""))
+    return "|".join((str(min(len(token) // 4, 12)), shape, str(share), *around, head if head.isupper() and head.isascii() and "|" not in head else ""))
 
 
-def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[dict[tuple[int, ...], float], np.ndarray]:
-    """Expectation-maximisation over counted vote patterns: the chance of each pattern to be a secret, and each
+def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS,
+                  trust: float = 0.0) -> tuple[dict[tuple[int, ...], float], np.ndarray]:
+    """Expectation-maximisation over counted vote patterns: the chance of each pattern to be personal data, and each
     labeler's chance of every vote (-1, 0, 1) for either class. There are at most 3 to the power of the labelers patterns.
+
+    ``trust`` is how much the belief that labelers are better than chance counts beside the data: without it, a kind
+    whose candidates nearly all are personal data would be split in two.
     """
     seen = np.array([p for p, _ in patterns], np.int64).reshape(-1, LABELERS)
     counts = np.array([n for _, n in patterns], float)
     # Labelers start out better than chance, which fixes which of the classes is the secret.
-    rates = np.array([[[0.5, 0.4, 0.1], [0.1, 0.4, 0.5]]] * LABELERS)
+    belief = np.array([[0.5, 0.4, 0.1], [0.1, 0.4, 0.5]])
+    rates = np.array([belief] * LABELERS)
     prior, chance = 0.5, np.zeros(len(counts))
     for _ in range(rounds if len(counts) else 0):
         log = np.log([1 - prior, prior])[None, :] + sum(np.log(rates[n][:, seen[:, n] + 1]).T for n in range(LABELERS))
@@ -146,37 +159,65 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROU
         prior = float(np.clip(weight[1].sum() / counts.sum(), 0.01, 0.99))
         for n in range(LABELERS):
             for vote in range(3):
-                rates[n][:, vote] = weight[:, seen[:, n] + 1 == vote].sum(axis=1) + 0.5
+                rates[n][:, vote] = weight[:, seen[:, n] + 1 == vote].sum(axis=1) + 0.5 + trust * belief[:, vote] * weight.sum(axis=1)
             rates[n] /= rates[n].sum(axis=1, keepdims=True)
     return {tuple(p): float(c) for (p, _), c in zip(patterns, chance)}, rates
 
 
-def classifier(rows: list[tuple[str, float, float]]) -> dict[str, float]:
-    """Weights of feature values from (features, spans, expected secrets): naive Bayes on the labelers' soft labels."""
-    totals, parts = [1.0, 1.0], {}
-    for joined, spans, secret in rows:
-        totals[0] += spans - secret
-        totals[1] += secret
-        for n, value in enumerate(joined.split("|")):
-            at = parts.setdefault(f"{n}|{value}", [0.5, 0.5])
-            at[0] += spans - secret
-            at[1] += secret
-    weights = {v: float(np.log(b / totals[1]) - np.log(a / totals[0])) for v, (a, b) in parts.items()}
-    return weights | {"": float(np.log(totals[1] / totals[0]))}
+#: In the order that decides where two learned spans overlap: the first stays.
+LEARNED = (*(k for k in OTHERS if k.name in ("account", "identity")), Kind("secret", candidates, votes), *(
+    k for k in OTHERS if k.name not in ("account", "identity")))
+
+
+def asked(kind: Kind, text: str, start: int, end: int) -> tuple[str, str]:
+    """Votes and features of a candidate. Secrets are judged by what they look like, all else also by what the labelers
+    saw beside them."""
+    voted = kind.vote(text, start, end)
+    seen = features(text, start, end)
+    return ",".join(map(str, voted)), seen if kind.name == "secret" else "|".join((seen, *map(str, voted)))
+
+
+def classifier(rows: list[tuple[int, str, float, float]], spans: float, expected: float) -> dict[str, float]:
+    """Weights of feature values from (place, value, spans, expected spans that are personal data), and from the totals of
+    these two: naive Bayes on the labelers' soft labels. ``""`` is the weight of all spans."""
+    no, yes = 1.0 + spans - expected, 1.0 + expected
+    weights = {f"{n}|{value}": float(np.log((0.5 + y) / yes) - np.log((0.5 + all_ - y) / no)) for n, value, all_, y in rows}
+    return weights | {"": float(np.log(yes / no))}
+
+
+def _apart(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of spans (kind, start, end) in the order of kinds, those that overlap none that stays before them."""
+    starts: list[int] = []
+    ends: list[int] = []
+    kept = []
+    for kind, start, end in spans:
+        at = bisect_right(starts, start)
+        if (at and ends[at - 1] > start) or (at < len(starts) and starts[at] < end):
+            continue
+        starts.insert(at, start)
+        ends.insert(at, end)
+        kept.append((kind, start, end))
+    return kept
+
+
+SPANS = "array<struct<kind:string,start:long,end:long>>"
 
 
 def find(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``base`` and ``learned``, arrays of (kind, start, end) in code points, end exclusive.
 
-    ``base`` holds the fixed patterns in the order of kinds, then starts. ``learned`` holds secrets: every token with a
-    letter and a digit is a candidate; labelers vote (key form, gazetteer of names before it, context, mix of characters);
-    the counts of vote patterns over all documents give the labelers' reliabilities by expectation-maximisation, and
-    these the soft labels that the span classifier is trained on; it decides. A candidate that overlaps a base span is
-    no secret. Null and empty texts have no spans; repeated rows are searched each; an empty table gives no rows.
+    ``base`` holds the fixed patterns in the order of kinds, then starts. ``learned`` holds spans of the kinds account,
+    identity, secret, number (telephones without a country code), password, address and person, in that order, then by start.
+    Each kind has candidates and four labelers (form, gazetteer, context, mix of characters); the counts of vote patterns over
+    all documents give the labelers' reliabilities by expectation-maximisation, and these the soft labels that
+    the kind's span classifier is trained on; it decides. Candidates that overlap a base span, or a learned one of a kind
+    before theirs, are left out. Null and empty texts have no spans; repeated rows are searched each; an empty table gives no
+    rows.
 
-    The text is read once; what follows works on the spans. The driver sees counts of vote patterns and of feature
-    values, whose number the definitions bound.
+    The text is read once; what follows works on the spans. The driver sees counts of vote patterns and, per place
+    among the features, counts of feature values, whose number the definitions bound.
     """
+    small_batches(frame.sparkSession)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,41 +226,56 @@ def find(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 text = text or ""
                 own = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-                found.append([
-                    {"start": a, "end": b, "votes": ",".join(map(str, votes(text, a, b))), "features": features(text, a, b)}
-                    for a, b in candidates(text) if not any(a < y and x < b for _, x, y in own)
-                ])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, spans), pa.array(found, asked)], names=[id_col, "base", "found"])
+                own = sorted((a, b) for _, a, b in own)
+                # Spans of different kinds may overlap: the largest end so far tells whether one reaches in from before.
+                reach = list(accumulate((b for _, b in own), max))
+                mine = []
+                for n, kind in enumerate(LEARNED):
+                    for a, b in kind.find(text):
+                        at = bisect_left(own, (b, 0))
+                        if not (at and reach[at - 1] > a):
+                            voted, seen = asked(kind, text, a, b)
+                            mine.append({"kind": n, "start": a, "end": b, "votes": voted, "features": seen})
+                found.append(mine)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, spans), pa.array(found, questions)], names=[id_col, "base", "found"])
 
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    asked = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("votes", pa.string()), ("features", pa.string())]))
+    questions = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("votes", pa.string()), ("features", pa.string())]))
     narrow = frame.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    kind = narrow.schema[0].dataType.simpleString()
+    kind_of_id = narrow.schema[0].dataType.simpleString()
     searched = stored(narrow.mapInArrow(
-        tidy(search), f"`{id_col}` {kind}, base array<struct<kind:string,start:long,end:long>>, "
-        "found array<struct<start:long,end:long,votes:string,features:string>>",
+        tidy(search), f"`{id_col}` {kind_of_id}, base {SPANS}, found array<struct<kind:int,start:long,end:long,votes:string,features:string>>",
     ), "spans")
-    each = searched.select(F.explode("found").alias("span")).select("span.votes", "span.features")
-    counted = each.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
-    chances, _ = reliabilities(sorted((tuple(map(int, r["votes"].split(","))), r["n"]) for r in counted))
-    soft = frame.sparkSession.createDataFrame(
-        [(",".join(map(str, p)), c) for p, c in chances.items()], "of string, chance double"
-    )
-    rows = each.join(F.broadcast(soft), F.col("votes") == F.col("of")).groupBy("features").agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum("chance").alias("secret")
-    ).collect()
-    weights = classifier(sorted((r["features"], r["n"], round(r["secret"], 6)) for r in rows))
-    score = F.lit(weights[""])
-    table = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
-
-    def sure(span):
-        values = F.transform(F.split(span["features"], r"\|"), lambda v, n: F.coalesce(
-            F.element_at(table, F.concat(n.cast("string"), F.lit("|"), v)), F.lit(0.0)))
-        return F.aggregate(values, score, lambda total, value: total + value) > 0
-
-    learned = F.transform(F.filter("found", sure), lambda s: F.struct(
-        F.lit(LEARNED).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return searched.select(id_col, "base", learned.alias("learned"))
+    each = searched.select(F.explode("found").alias("span")).select("span.kind", "span.votes", "span.features")
+    patterns: dict[int, list] = {}
+    for row in each.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect():
+        patterns.setdefault(row["kind"], []).append((tuple(map(int, row["votes"].split(","))), row["n"]))
+    soft, totals = [], {}
+    for kind, counted in sorted(patterns.items()):
+        chances, _ = reliabilities(sorted(counted), trust=0.0 if LEARNED[kind].name == "secret" else TRUST)
+        soft += [(kind, ",".join(map(str, p)), chance) for p, chance in chances.items()]
+        totals[kind] = sum(n for _, n in counted), sum(n * chances[p] for p, n in counted)
+    table = frame.sparkSession.createDataFrame(soft, "of_kind int, of string, chance double")
+    values = each.join(F.broadcast(table), (F.col("votes") == F.col("of")) & (F.col("kind") == F.col("of_kind"))).select(
+        "kind", "chance", F.posexplode(F.split("features", r"\|")).alias("place", "value"))
+    seen: dict[int, list] = {}
+    for row in values.groupBy("kind", "place", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("chance").alias("expected")).collect():
+        seen.setdefault(row["kind"], []).append((row["place"], row["value"], float(row["n"]), round(row["expected"], 6)))
+    weights = {kind: classifier(sorted(rows), *totals[kind]) for kind, rows in seen.items()}
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            learned = []
+            for found in batch.column(2).to_pylist():
+                sure = []
+                for span in found:
+                    own = weights[span["kind"]]
+                    if own[""] + sum(own[f"{n}|{value}"] for n, value in enumerate(span["features"].split("|"))) > 0:
+                        sure.append((span["kind"], span["start"], span["end"]))
+                learned.append([{"kind": LEARNED[k].name, "start": a, "end": b} for k, a, b in _apart(sure)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(learned, spans)], names=[id_col, "base", "learned"])
+
+    return searched.mapInArrow(tidy(decide), f"`{id_col}` {kind_of_id}, base {SPANS}, learned {SPANS}")
 
 
 def joined(spans):

@@ -65,6 +65,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256"),
         pii.joined(F.concat("base", "learned")).alias("spans"),
+        (F.size("base") + F.size("learned")).cast("long").alias("n_spans"),
     )
 
 

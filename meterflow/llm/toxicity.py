@@ -20,7 +20,8 @@ ship(__name__)
 
 #: Labelled texts per class that the insults and the final weights are learned from, in expectation; chosen by hash.
 FIT_ROWS = 3000
-#: Shortest and longest stem, occurrences of insults that a toxic text is expected to have, and the most stems tried.
+#: Shortest and longest stem, occurrences of insults that a toxic text is expected to have, and the most stems that
+#: fitting looks at, those that tell most first: a bound of the fit like FIT_ROWS.
 STEM = (4, 12)
 COVER = 2
 TRIED = 8000
@@ -208,11 +209,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30
 
 
 def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> tuple[dict[str, float], list[float]]:
+          label_col: str = "toxic", fit_rows: int = FIT_ROWS, tried: int = TRIED) -> tuple[dict[str, float], list[float]]:
     """(weight per insult stem, weights of the scored symbols and offset) from labelled texts that ``trains`` selects.
 
-    About ``fit_rows`` texts per class are read, chosen by a hash of their id: that bounds what the driver holds. Without
-    labelled texts there are no insults and every score is the same.
+    About ``fit_rows`` texts per class are read, chosen by a hash of their id, and the ``tried`` stems that tell the classes
+    apart best by themselves are weighed against each other: these two bound what the driver holds. Without labelled
+    texts there are no insults and every score is the same.
     """
     known = labels.filter(trains & F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").alias("of"), (F.col(f"`{label_col}`") == 1).cast("int").alias("toxic")
@@ -249,7 +251,7 @@ def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str =
         F.expr("left(stem, length(stem) - 1)").alias("of_stem"), F.col("good").alias("of_good"), F.col("bad").alias("of_bad"))
     listed = counted.join(longer, (F.col("stem") == F.col("of_stem")) & (F.col("good") == F.col("of_good")) & (
         F.col("bad") == F.col("of_bad")), "left_anti").orderBy(
-        (F.col("good") - price * F.col("bad") * good / max(1, bad)).desc(), "bad", "stem").limit(TRIED).collect()
+        (F.col("good") - price * F.col("bad") * good / max(1, bad)).desc(), "bad", "stem").limit(tried).collect()
     names = [r["stem"] for r in listed]
     place = {s: n for n, s in enumerate(names)}
 
