@@ -197,7 +197,8 @@ def to_messages(readings: DataFrame, key: Column, *keep: Column | str) -> DataFr
 
 
 def keep_first(records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One record per key, the first by ``order``; copies collapse on the map side before the shuffle."""
+    """One record per key, the first by ``order``. Each task sorts its records by key, so that copies collapse before the
+    shuffle."""
     others = [c for c in records.columns if c not in keys]
     first = F.min_by(F.struct(*others), F.struct(*order)).alias("_r")
     return records.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(

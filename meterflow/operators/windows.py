@@ -195,7 +195,7 @@ def cadence_gaps(readings: DataFrame, longer_than_sec: float = 0.1) -> DataFrame
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row per key: an aggregate with map-side combine, no sort."""
+    """The last row per key: an aggregate with map-side combine, for which each task sorts its rows by key."""
     others = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_r")).select(
         *keys, *[F.col(f"_r.{c}").alias(c) for c in others]

@@ -8,6 +8,7 @@ learns from it where to look and lists nothing else.
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from collections.abc import Callable
@@ -55,9 +56,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> int:
     hour = F.unix_date("event_date").cast("long") * 24 + F.col("event_hour")
     seen = _write(laid_out.hint("rebalance", "event_date", "event_hour"), path, LAYOUT,
                   {"rows": F.count(F.lit(1)), "hours": F.collect_set(hour)})
-    hours = [(hour, batch_id) for hour in sorted(seen.get("hours") or [])]
-    ledger = rows.sparkSession.createDataFrame(hours, "hour long, of_batch long").coalesce(1)
-    ledger.write.mode("overwrite").parquet(f"{ledger_path(path)}/batch={batch_id}")
+    ledger = ledger_path(path)
+    Files(rows.sparkSession, path).write_text(f"{ledger}/batch-{batch_id}", json.dumps(sorted(seen.get("hours") or [])))
     return seen.get("rows") or 0
 
 
@@ -86,22 +86,28 @@ def _batch(folder: str) -> int:
     return int(folder.rsplit("/batch=", 1)[1])
 
 
-def _pending(spark: SparkSession, files: Files, path: str, upto: int | None) -> tuple[dict[int, list[int]], int | None]:
-    """Per hour the batches that the ledger names and compaction has not settled, and the last batch of the ledger read."""
-    ledger = ledger_path(path)
-    if not files.exists(ledger):
-        return _listed(files, path, upto)
-    _finish_swaps(files, ledger)
-    folders = [f for f in files.glob(f"{ledger}/batch=*") if upto is None or covers(_batch(f))[1] <= upto]
-    if not folders:
-        return {}, None
-    hours: dict[int, list[int]] = {}
-    for row in spark.read.schema("hour long, of_batch long").parquet(*folders).distinct().collect():
-        hours.setdefault(row["hour"], []).append(row["of_batch"])
-    return hours, max(covers(_batch(f))[1] for f in folders)
-
+def _pending(files: Files, path: str, upto: int | None) -> tuple[dict[int, list[int]], list[str]]:
+    """Per hour the batches that compaction has not settled, and the files of the ledger that say so.
 
-def _listed(files: Files, path: str, upto: int | None) -> tuple[dict[int, list[int]], int | None]:
+    The ledger has one small file per batch with the hours that it wrote, and one file with what earlier runs left open.
+    """
+    ledger, hours, read = ledger_path(path), {}, []
+    if not files.exists(ledger):
+        return _listed(files, path, upto), []
+    for name in files.glob(f"{ledger}/batch-*"):
+        batch = int(name.rsplit("-", 1)[1])
+        if upto is None or batch <= upto:
+            read.append(name)
+            for hour in json.loads(files.read_text(name)):
+                hours.setdefault(hour, []).append(batch)
+    # Of several, the last is complete: a run that was stopped had written it before it could remove the others.
+    left = sorted(files.glob(f"{ledger}/open-*"), key=lambda name: int(name.rsplit("-", 1)[1]))
+    for hour, batch in json.loads(files.read_text(left[-1])) if left else []:
+        hours.setdefault(hour, []).append(batch)
+    return hours, read + left
+
+
+def _listed(files: Files, path: str, upto: int | None) -> dict[int, list[int]]:
     """The same for a table without a ledger, from all of its folders; its ledger starts with this run."""
     hours: dict[int, list[int]] = {}
     for folder in files.glob(f"{path}/event_date=*/event_hour=*/batch=*"):
@@ -109,7 +115,7 @@ def _listed(files: Files, path: str, upto: int | None) -> tuple[dict[int, list[i
         day = datetime.fromisoformat(named["event_date"]).replace(tzinfo=timezone.utc)
         if upto is None or covers(_batch(folder))[1] <= upto:
             hours.setdefault(int(day.timestamp()) // 3600 + int(named["event_hour"]), []).append(covers(_batch(folder))[1])
-    return hours, max((batch for batches in hours.values() for batch in batches), default=None)
+    return hours
 
 
 def compact(
@@ -124,7 +130,7 @@ def compact(
     finished by the next. While a stream writes, ``upto`` is its last batch that cannot be replayed any more.
     """
     files = Files(spark, path)
-    pending, last = _pending(spark, files, path, upto)
+    pending, read = _pending(files, path, upto)
     limit = as_of.astimezone(timezone.utc) if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
     newest = int((limit - older_than).timestamp()) // 3600
     cold: dict[int, list[str]] = {}
@@ -136,9 +142,8 @@ def compact(
             cold[hour] = found
     if cold:
         _rewrite(spark, files, path, cold)
-    if last is not None:
-        left = [(hour, batch) for hour, batches in pending.items() if hour >= newest for batch in batches]
-        _settle(spark, files, path, left, last)
+    left = [(hour, batch) for hour, batches in pending.items() if hour >= newest for batch in batches]
+    _settle(files, path, left, read)
     return len(cold)
 
 
@@ -161,13 +166,12 @@ def _rewrite(spark: SparkSession, files: Files, path: str, cold: dict[int, list[
     files.delete(staging)
 
 
-def _settle(spark: SparkSession, files: Files, path: str, left: list[tuple[int, int]], last: int) -> None:
-    """The ledger up to ``last`` becomes one folder with the hours that are still to come."""
-    ledger = ledger_path(path)
-    staging = f"{ledger}/_staging-{uuid.uuid4().hex}"
-    spark.createDataFrame(left, "hour long, of_batch long").coalesce(1).write.parquet(staging)
-    files.move(staging, f"{ledger}/_swap-0-{last}")
-    _finish_swaps(files, ledger)
+def _settle(files: Files, path: str, left: list[tuple[int, int]], read: list[str]) -> None:
+    """What was read of the ledger becomes one file with the hours that are still to come."""
+    runs = [int(name.rsplit("-", 1)[1]) for name in read if "/open-" in name]
+    files.write_text(f"{ledger_path(path)}/open-{max(runs, default=0) + 1}", json.dumps(left))
+    for name in read:
+        files.delete(name)
 
 
 def _level(folder: str) -> int:

@@ -54,20 +54,18 @@ class Paths:
         return f"{self.root}/checkpoint"
 
 
-def without_copies(batch: DataFrame, keys: DataFrame, known: DataFrame | None) -> DataFrame:
-    """The records of a batch that neither the batch nor an earlier one holds already.
+def without_copies(batch: DataFrame, landed_keys: DataFrame | None, repeated: DataFrame | None) -> DataFrame:
+    """The records of a batch but those whose key has landed, and one of those whose key is ``repeated`` in the batch.
 
-    Keys are compared with landed offsets, never with a clock, so that a record however late is a new record. ``keys``
-    are those of the batch and ``known`` the landed intervals near them. Only keys are shuffled: records themselves move
-    where their key occurs twice in the batch. A record without topic, partition or offset is no copy of any other.
+    Keys are compared with landed offsets, never with a clock, so that a record however late is a new record. Both frames
+    hold keys and are small as a rule: Spark knows how small, as they are cached, and sends them to the records. Records
+    move only where they are many, or where their key is repeated. One without topic, partition or offset is no copy of
+    any other.
     """
-    fresh = batch
-    if known is not None:
-        fresh = fresh.join(landed.known_keys(keys, known), RECORD_KEY, "left_anti")
-    repeated = keys.where("n > 1").select(*RECORD_KEY, F.lit(True).alias("repeated"))
-    if repeated.isEmpty():
+    fresh = batch if landed_keys is None else batch.join(landed_keys, RECORD_KEY, "left_anti")
+    if repeated is None:
         return fresh.select(*batch.columns)
-    marked = fresh.join(repeated, RECORD_KEY, "left")
+    marked = fresh.join(repeated.withColumn("repeated", F.lit(True)), RECORD_KEY, "left")
     once = marked.where("repeated IS NULL").select(*batch.columns)
     return once.unionByName(marked.where("repeated").select(*batch.columns).dropDuplicates(RECORD_KEY))
 
@@ -85,15 +83,25 @@ def _write(paths: Paths, spike_options: dict | None, dedup: bool = True) -> Call
         if not dedup:
             return land(batch, batch_id)
         spark, keys = batch.sparkSession, landed.keys_of(batch).persist()
+        kept = [keys]
+
+        def cached(some: DataFrame) -> DataFrame | None:
+            """The frame with its size known, if it has rows."""
+            kept.append(some.persist())
+            return some if some.count() else None
+
         try:
             slots = landed.slots_of(keys)
             known = landed.landed(spark, paths.seen, slots, batch_id)
-            land(without_copies(batch, keys, known), batch_id)
+            landed_keys = None if known is None else cached(landed.known_keys(keys, known))
+            repeats = any(n > 1 for n in slots.values())
+            land(without_copies(batch, landed_keys, cached(keys.where("n > 1").select(*RECORD_KEY)) if repeats else None), batch_id)
             if slots:
                 landed.write_landed(spark, paths.seen, landed.intervals(keys), known, batch_id)
                 landed.drop_old(spark, paths.seen, slots, batch_id)
         finally:
-            keys.unpersist()
+            for frame in kept:
+                frame.unpersist()
 
     def land(fresh: DataFrame, batch_id: int) -> None:
         decoded = _verdicts(decode(fresh)).persist()

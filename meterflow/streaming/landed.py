@@ -7,6 +7,8 @@ folder of its own. A batch reads and writes only the slots that its own offsets
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,12 +57,13 @@ def merged(both: DataFrame) -> DataFrame:
     return numbered.groupBy("slot", "block", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island")
 
 
-def slots_of(keys: DataFrame) -> list[str]:
-    """The slots that a batch touches: one per partition and four million offsets, if they come in order."""
-    return [row["slot"] for row in keys.select("slot").distinct().collect()]
+def slots_of(keys: DataFrame) -> dict[str, int]:
+    """The slots that a batch touches, each with the most records that one of its keys has. There is one slot per partition and
+    four million offsets, if these come in order."""
+    return {row["slot"]: row["n"] for row in keys.groupBy("slot").agg(F.max("n").alias("n")).collect()}
 
 
-def folders(spark: SparkSession, path: str, slots: list[str], batch_id: int) -> list[str]:
+def folders(spark: SparkSession, path: str, slots: Iterable[str], batch_id: int) -> list[str]:
     """Per slot the folder of its newest version before the batch. A replay starts from what the batch started from."""
     files, found = Files(spark, path), []
     for slot in slots:
@@ -71,7 +74,7 @@ def folders(spark: SparkSession, path: str, slots: list[str], batch_id: int) ->
     return found
 
 
-def landed(spark: SparkSession, path: str, slots: list[str], batch_id: int) -> DataFrame | None:
+def landed(spark: SparkSession, path: str, slots: Iterable[str], batch_id: int) -> DataFrame | None:
     """(slot, block, first, last) of the slots before the batch; None where nothing has landed."""
     names = folders(spark, path, slots, batch_id)
     if not names:
@@ -100,7 +103,7 @@ def write_landed(spark: SparkSession, path: str, own: DataFrame, known: DataFram
     )
 
 
-def drop_old(spark: SparkSession, path: str, slots: list[str], batch_id: int) -> None:
+def drop_old(spark: SparkSession, path: str, slots: Iterable[str], batch_id: int) -> None:
     """Versions that neither this batch nor its replay reads."""
     files = Files(spark, path)
     for slot in slots:

@@ -7,16 +7,24 @@ take all packets of a busy capture through one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from meterflow.operators.network import TARGET_PORT, describe, network_alerts, relevant
 from meterflow.operators.windows import gap_to_previous
 from meterflow.sinks.table import drop_batch, write_side_batch
 
+# Tasks get this module by value: executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _analyze(flows: str, state: str, alerts: str | None, port: int) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -81,3 +89,49 @@ def start_packet_analysis(
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )
+
+
+class CaptureClock(StatefulProcessor):
+    """Per capture the instant of its latest packet, forgotten when the capture has been idle for ``idle_ms``."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        packets = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"], kind="stable", ignore_index=True)
+        known = self.last.get()[0] if self.last.exists() else None
+        gaps = packets["us"].diff() / 1e6
+        gaps.iloc[0] = 0.0 if known is None else (int(packets["us"].iloc[0]) - known) / 1e6
+        newest = int(packets["us"].iloc[-1])
+        self.last.update((newest if known is None else max(known, newest),))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        yield packets.assign(gap_sec=gaps)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_flows(packets: DataFrame, idle: timedelta = timedelta(hours=1), port: int = TARGET_PORT) -> DataFrame:
+    """Feature records of a packet stream with the clocks in the state store, which needs RocksDB.
+
+    For many captures of which each is small: nothing is rewritten per batch, and idle captures cost nothing. All packets of
+    a capture go through one task, so a capture that holds a large share of the packets belongs in
+    ``start_packet_analysis``. Both give the same records, as long as no capture comes back after ``idle``.
+    """
+    counted = relevant(packets, port).withColumn("us", F.unix_micros("ts")).drop("ts")
+    gapped = counted.groupBy("capture_id").transformWithStateInPandas(
+        statefulProcessor=CaptureClock(int(idle.total_seconds() * 1000)),
+        outputStructType=T.StructType([*counted.schema.fields, T.StructField("gap_sec", T.DoubleType())]),
+        outputMode="Append", timeMode="ProcessingTime",
+    )
+    return describe(gapped.withColumn("ts", F.timestamp_micros("us")), "capture_id", "ts", "seq")
