@@ -28,6 +28,8 @@ ID = 4
 #: Distinct chunks of text whose ids a task remembers, and the longest chunk that it does remember.
 REMEMBERED = 500_000
 LONGEST = 48
+#: Letters of the texts that are encoded at a time, unless one text has more.
+SLICE = 1 << 20
 #: Words that are encoded as one text.
 TOGETHER = 200
 #: Marks that end a word of letters and are units of their own with what follows them.
@@ -179,8 +181,19 @@ class Tokens:
             bounds = np.cumsum([0, *(len(part) + 1 for part in parts)]).tolist()
         return ids, bounds
 
-    def of(self, text: str) -> bytes:
-        return self.batch([text])[0].tobytes()
+    def each(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of one text after the other. Texts are encoded some at a time: what that takes beside them grows with
+        their letters."""
+        start = 0
+        while start < len(texts):
+            end, letters = start, 0
+            while end < len(texts) and (end == start or letters + len(texts[end]) <= SLICE):
+                letters += len(texts[end])
+                end += 1
+            ids, bounds = self.batch(texts[start:end])
+            for low, high in zip(bounds, bounds[1:]):
+                yield ids[low:high]
+            start = end
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
@@ -257,10 +270,9 @@ def pack(frame: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2
         kind = None
         for batch in batches:
             kind, made = batch.column(0).type, []
-            content, bounds = tokens.batch([text or "" for text in batch.column(1).to_pylist()])
-            for doc, low, high in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
-                ids = content[low:high].tobytes()
-                total = high - low
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for doc, content in zip(batch.column(0).to_pylist(), tokens.each(texts)):
+                ids, total = content.tobytes(), len(content)
                 whole = total - total % capacity
                 for start in range(0, whole, capacity):
                     made.append((doc, start, capacity, total, sequence, 0, ids[start * ID : (start + capacity) * ID]))

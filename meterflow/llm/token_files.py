@@ -191,11 +191,10 @@ def write(frame: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id_col
         part, attempt = context.partitionId(), str(context.taskAttemptId())
         tokens, writer, made = Tokens(tokenizer, end_id), None, []
         for batch in batches:
-            content, bounds = tokens.batch(batch.column(1).to_pylist())
-            for doc, low, high in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
+            for doc, ids in zip(batch.column(0).to_pylist(), tokens.each(batch.column(1).to_pylist())):
                 if writer is None:
                     writer = Writer(f"{folder}/part-{part:06d}-{len(made):05d}.zst", attempt, batch.column(0).type)
-                writer.add(doc, content[low:high].tobytes())
+                writer.add(doc, ids.tobytes())
                 if writer.full():
                     made.append(writer.close())
                     writer = None

@@ -54,6 +54,14 @@ def test_forgetting_and_very_long_texts(monkeypatch):
     assert same(tokens, ["ab" * 5000 + " " + "many words, " * 30_000])
 
 
+def test_slices_of_many_texts(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE", 40)
+    texts = ["", "a few words", "x" * 100 + " y", "", "more, of them!"] * 7
+    found = [ids.tolist() for ids in TOKENS.each(texts)]
+    assert found == [expected([t])[0] for t in texts]
+    assert list(TOKENS.each([])) == []
+
+
 def test_no_texts():
     ids, bounds = TOKENS.batch([])
     assert len(ids) == 0 and list(bounds) == [0]
