@@ -126,7 +126,9 @@ def keyed_flows(packets: DataFrame, idle: timedelta = timedelta(hours=1), port:
 
     For many captures of which each is small: nothing is rewritten per batch, and idle captures cost nothing. All packets of
     a capture go through one task, so a capture that holds a large share of the packets belongs in
-    ``start_packet_analysis``. Both give the same records, as long as no capture comes back after ``idle``.
+    ``start_packet_analysis``. Both give the same records, as long as no capture comes back after ``idle``. Timers of the
+    machine's clock make Spark run empty batches: a run over all available data ends only if
+    ``spark.sql.streaming.noDataMicroBatches.enabled`` is off.
     """
     counted = relevant(packets, port).withColumn("us", F.unix_micros("ts")).drop("ts")
     gapped = counted.groupBy("capture_id").transformWithStateInPandas(
