@@ -561,13 +561,13 @@ def stream_ingest(spark, sf_dir):
 
 @registered
 def stream_ingest_late(spark, sf_dir):
-    """The later half of the records first, then the earlier half, then copies of some, in 20 batches; a restart before
-    each half."""
+    """The later half of the records first, then the earlier half, then copies of some, in eight batches; a restart before
+    each part."""
     source, paths = scratch_path(spark, "topic"), ingest.Paths(scratch_path(spark, "ingest"))
     messages = adapters.messages(spark, sf_dir)
     middle = messages.agg(F.percentile_approx(F.unix_micros("timestamp"), 0.5)).first()[0]
     late = F.unix_micros("timestamp") < middle
-    for part, files in ((~late, 8), (late, 8), (~late & (F.col("offset") % 3 == 0), 4)):
+    for part, files in ((~late, 3), (late, 3), (~late & (F.col("offset") % 3 == 0), 2)):
         publish_files(messages.where(part).repartition(files, "offset"), source)
         stream = topic.stream_topic_files(spark, source, files_per_trigger=1)
         ingest.start_ingest(stream, paths, AVAILABLE_NOW).awaitTermination()
