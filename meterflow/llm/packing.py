@@ -7,6 +7,7 @@ import json
 import os
 import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ SLICE = 1 << 20
 TOGETHER = 200
 #: Marks that end a word of letters and are units of their own with what follows them.
 MARKS = ".,;:!?*%&$#|)\""
+IS_MARK, IS_LETTER = np.isin(np.arange(256), [*MARKS.encode()]), np.isin(np.arange(256), range(ord("a"), ord("z") + 1))
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -50,13 +52,25 @@ RULES = {
 }
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones stand for themselves."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = sorted(set(range(256)).difference(printable))
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + n) for n, byte in enumerate(others)}
+
+
+def _rule(part) -> dict | None:
+    """A part of a tokenizer as its file states it."""
+    return None if part is None else json.loads(part.__getstate__())
+
+
 class Tokens:
     """Ids of texts, encoded a batch at a time.
 
     The tokenizer drops white space and never joins across it, so that the ids of a text are those of its chunks
-    between blanks and line feeds, one after the other, and those of a word are the same in any case. Chunks repeat:
-    a batch is reduced to its distinct chunks, their ids are remembered in one array, and the texts' ids are taken from
-    there. A text that holds the string of a special token, which may contain no blank but is matched before anything
+    between blanks and line feeds, one after the other, and those of a word are the same in any case. Marks behind a
+    word are a chunk of their own. Chunks repeat: a batch is reduced to its distinct chunks, their ids are remembered in
+    one array, and the texts' ids are taken from there. A text that holds the string of a special token, which may contain no blank but is matched before anything
     else, goes through whole, and so does every text of a tokenizer with other rules.
     """
 
@@ -67,13 +81,11 @@ class Tokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        rules = json.loads(self.tokenizer.to_str())
-        self.by_words = all(rules[part] == rule for part, rule in RULES.items())
-        # For words that need no rule: lower-case letters only.
+        self.by_words = all(_rule(getattr(self.tokenizer, part)) == rule for part, rule in RULES.items())
+        # For words that need no rule: lower-case letters only, their bytes as the letters that stand for them.
         self.bare = Tokenizer(self.tokenizer.model)
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.letters = {**byte_letters(), ord(" "): " "}
         self.end = end_id
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(words.values()) + 1, bool)
@@ -83,7 +95,7 @@ class Tokens:
     def _forget(self) -> None:
         self.places: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.lengths, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.starts, self.lengths, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), 0
 
     def _store(self, ids: np.ndarray, lengths: np.ndarray) -> int:
         """Appends the ids of some chunks; returns the place of the first."""
@@ -102,44 +114,26 @@ class Tokens:
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their numbers of words of letters only, encoded together: the last id of a word alone ends a word."""
+        if not words:
+            return self._chunks(words)
         groups = [" ".join(words[n : n + TOGETHER]) for n in range(0, len(words), TOGETHER)]
+        groups = [g if g.isascii() else g.encode().decode("latin-1").translate(self.letters) for g in groups]
         found = self.bare.encode_batch_fast(groups, add_special_tokens=False)
         ids = np.concatenate([np.asarray(e.ids, dtype=np.uint32) for e in found])
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) == len(words):
             return ids, np.diff(ends, prepend=0)
-        return _joined(self._encode(words))
-
-    def _learn(self, chunks: list[str], places: dict[str, int]) -> None:
-        """Adds the places of new chunks; letters and the marks after them are units of their own."""
-        words, others, both, marks = [], set(), [], []
-        for chunk in chunks:
-            word = chunk.rstrip(MARKS)
-            if not word.isalpha() or len(chunk) > LONGEST:
-                others.add(chunk)
-            elif len(word) == len(chunk):
-                words.append(word)
-            else:
-                both.append(chunk)
-                words.append(word)
-                marks.append(chunk[len(word) :])
-        bases = [chunk[: -len(mark)] for chunk, mark in zip(both, marks)]
-        others.update(marks)
-        for encode, wanted in ((self._words, words), (lambda texts: _joined(self._encode(texts)), others)):
-            new = list(set(wanted).difference(places))
-            if new:
-                first = self._store(*encode(new))
-                places.update(zip(new, range(first, first + len(new))))
-        if both:
-            parts = np.array([list(map(places.get, bases)), list(map(places.get, marks))]).T.ravel()
-            ids, lengths = self._taken(parts)
-            first = self._store(ids, lengths.reshape(-1, 2).sum(axis=1))
-            places.update(zip(both, range(first, first + len(both))))
+        return self._chunks(words)
+
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of chunks of any kind, each encoded by itself."""
+        found = self._encode(chunks)
+        return np.concatenate([np.empty(0, np.uint32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
     def _taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of chunks one after the other, and how many each has."""
         lengths = self.lengths[places]
-        before = np.cumsum(lengths) - lengths
+        before = np.cumsum(lengths, dtype=np.int64) - lengths
         at = np.repeat(self.starts[places] - before, lengths)
         at += np.arange(len(at))
         return self.ids[at], lengths
@@ -154,23 +148,24 @@ class Tokens:
                 whole[n] = self._encode([text])[0]
                 text = ""
             plain.append(text.lower().replace("\n", " "))
-        split = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        split = pc.split_pattern(_marks_apart(pa.array(plain, pa.large_string())), " ")
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(self.places.get, distinct))
-        new = [chunk for chunk, place in zip(distinct, found) if place is None]
-        if len(self.places) + len(new) > REMEMBERED:
+        table = np.fromiter(map(self.places.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(table < 0)
+        if len(self.places) + len(missing) > REMEMBERED:
             self._forget()
-            found, new = [None] * len(distinct), distinct
-        places = self.places
-        self._learn([chunk for chunk in new if len(chunk) <= LONGEST], places)
+            missing = np.arange(len(distinct))
+        short = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False)[missing] <= LONGEST
+        letters = short & np.fromiter((distinct[n].isalpha() for n in missing.tolist()), bool, len(missing))
+        for at, encode in ((missing[letters], self._words), (missing[short & ~letters], self._chunks)):
+            names = [distinct[n] for n in at.tolist()]
+            table[at] = self._store(*encode(names)) + np.arange(len(at))
+            self.places.update(zip(names, table[at].tolist()))
         # Long chunks hardly come again: their ids go when the batch is done.
-        used, count, own = self.used, self.count, {}
-        self._learn([chunk for chunk in new if len(chunk) > LONGEST], own)
-        learnt = iter([places[chunk] if len(chunk) <= LONGEST else own[chunk] for chunk in new])
-        table = np.array([next(learnt) if place is None else place for place in found], np.int64)
-        chunks = table[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
-        ids, lengths = self._taken(chunks)
+        used, count, at = self.used, self.count, missing[~short]
+        table[at] = self._store(*self._chunks([distinct[n] for n in at.tolist()])) + np.arange(len(at))
+        ids, lengths = self._taken(table[coded.indices.to_numpy(zero_copy_only=False)])
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.asarray(split.offsets)]
         self.used, self.count = used, count
         ids = np.insert(ids, ends[1:], self.end)
@@ -202,8 +197,13 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
 
 
-def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+def _marks_apart(texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """The texts with a blank before every mark that follows a letter of a to z: there a unit ends anyway."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1)
+    content = np.frombuffer(texts.buffers()[2] or b"", np.uint8, int(offsets[-1]))
+    after = np.flatnonzero(IS_LETTER[content[:-1]] & IS_MARK[content[1:]]) + 1
+    moved = offsets + np.searchsorted(after, offsets)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(moved), pa.py_buffer(np.insert(content, after, ord(" "))))
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from meterflow.llm import packing
 
@@ -74,3 +74,16 @@ def test_other_rules_take_whole_texts(name):
     assert not tokens.by_words
     text = "Two words, and  Σ more.\n"
     assert tokens.batch([text])[0].tolist() == [*full.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_a_word_is_learnt_once_whatever_marks_follow_it():
+    tokens = packing.Tokens(PATH, 2)
+    assert same(tokens, ["Plain plain, plain. plain!!! a.b,c plain's, größe, Größe — x—.", "", "é.,é", "...,plain"])
+    assert {"plain", ",", ".", "!!!"} <= set(tokens.places)
+    assert not {"plain,", "plain.", "plain!!!"} & set(tokens.places)
+
+
+def test_letters_of_bytes_are_those_of_the_tokenizer():
+    assert sorted(packing.byte_letters().values()) == sorted(pre_tokenizers.ByteLevel.alphabet())
+    words = [chr(c) for c in range(128, 0x3000) if chr(c).isalpha() and chr(c).lower() == chr(c)]
+    assert same(packing.Tokens(PATH, 2), [" ".join(words)])
