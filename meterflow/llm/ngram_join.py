@@ -25,9 +25,11 @@ PERCENT = 80
 #: Second-level parts of a first-level part, and how many of them may differ: signatures cover all parts but so many.
 PARTS = 3
 SPARE = 1
-#: Signatures that a task sorts at a time, on average, and shingles of the documents that a task signs at a time.
+#: Signatures that a task sorts at a time, on average, and shingles of the documents whose signatures a task compares
+#: at a time and of those that it signs at a time.
 BUCKET_SIGNATURES = 2_000_000
 BATCH_SHINGLES = 1_000_000
+SLICE_SHINGLES = 1 << 17
 BATCH_ROWS = 4096
 #: One document in so many is read beforehand for the shingles that are frequent: in at least one document of RARE, and
 #: in FEWEST of those read. What is frequent decides which signatures are worth sending, never which pairs are found.
@@ -93,7 +95,23 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of the set, signature) for all sets of a batch.
+    """(place of the set, signature) for all sets of a batch. Sets sign some at a time: what that takes beside the
+    signatures grows with the elements of a slice, or of one set that has more."""
+    places, found, start = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while start < len(sets):
+        end, weight = start + 1, len(sets[start])
+        while end < len(sets) and weight + len(sets[end]) <= SLICE_SHINGLES:
+            weight += len(sets[end])
+            end += 1
+        place, value = _signatures(sets[start:end], frequent)
+        places.append(place + start)
+        found.append(value)
+        start = end
+    return np.concatenate(places), np.concatenate(found)
+
+
+def _signatures(sets: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the sets of a slice.
 
     A set signs in its own band and, if a partner of the next band can reach the similarity, in that one. An element's
     hash deals it to a first- and a second-level part; a signature is the sum of the hashes in a first-level part
