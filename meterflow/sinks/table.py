@@ -22,6 +22,8 @@ from meterflow.schemas import METRICS
 from meterflow.sources.tables import LAYOUT, hour_folder
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+#: Rows that a task of a compaction sorts, on average: some 150 bytes each in memory, however small they are on disk.
+TASK_ROWS = 2_000_000
 COLUMNS = ["timestamp", "device_id", *METRICS, "security_flag"]
 #: Folders of a level that are folded into one of the next.
 FAN = 8
@@ -125,9 +127,10 @@ def compact(
     files. Rows do not change. Returns the number of hours rewritten.
 
     The ledger says which hours have batches that were not compacted yet, whatever the age of the hour; hours already
-    compacted are neither listed nor read. Rows are spread by range over (hour, device, time), so a busy hour or device
-    takes many tasks. New folders are staged below the table, one hour is swapped after the other, and a run that dies is
-    finished by the next. While a stream writes, ``upto`` is its last batch that cannot be replayed any more.
+    compacted are neither listed nor read. Rows are spread by range over (hour, device, time, values), so a busy hour, device
+    or instant takes many tasks, of ``TASK_ROWS`` rows each. New folders are staged below the table, one hour is swapped after
+    the other, and a run that dies is finished by the next. While a stream writes, ``upto`` is its last batch that cannot be
+    replayed any more.
     """
     files = Files(spark, path)
     pending, read = _pending(files, path, upto)
@@ -149,12 +152,15 @@ def compact(
 
 def _rewrite(spark: SparkSession, files: Files, path: str, cold: dict[int, list[str]]) -> None:
     folders = [f for found in cold.values() for f in found]
-    parts = max(len(cold), math.ceil(sum(files.size(f) for f in folders) / TARGET_FILE_BYTES))
     order = ["event_date", "event_hour", "device_id", F.col("timestamp").desc()]
     staging = f"{path}/_staging-{uuid.uuid4().hex}"
     rows = spark.read.option("basePath", path).parquet(*folders).drop("batch")
+    # Counted from the footers of the files.
+    size = sum(files.size(f) for f in folders)
+    parts = max(len(cold), math.ceil(size / TARGET_FILE_BYTES), math.ceil(rows.count() / TASK_ROWS))
+    # The values tell readings of one instant apart, which may be many.
     (
-        rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        rows.repartitionByRange(parts, *order, *METRICS, "security_flag").sortWithinPartitions(*order)
         .write.option("compression", "zstd").partitionBy("event_date", "event_hour").parquet(staging)
     )
     for hour, found in cold.items():

@@ -143,3 +143,22 @@ def test_writers_say_how_many_rows_they_wrote(spark, tmp_path):
     assert S.write_batch(rows(spark, 70).where("false"), str(tmp_path / "t"), 1) == 0
     assert S.write_side_batch(spark.range(5), str(tmp_path / "s"), 0) == 5
     assert S.write_side_batch(spark.range(0), str(tmp_path / "s"), 1) == 0
+
+
+def test_a_task_of_a_compaction_sorts_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """One hour, and two thirds of its readings at one instant of one device."""
+    path = str(tmp_path / "t")
+    busy = F.col("id") % 3 > 0
+    frame = spark.range(3000).select(
+        F.timestamp_micros(F.lit(int(DAY.timestamp() * 1e6)) + F.when(busy, 0).otherwise(F.col("id"))).alias("timestamp"),
+        F.when(busy, "meter_00001").otherwise(F.concat(F.lit("meter_"), F.col("id") % 5)).alias("device_id"),
+        *[F.col("id").cast("float").alias(c) for c in S.METRICS], F.lit(0).alias("security_flag"),
+    )
+    S.write_batch(frame, path, 0)
+    before = content(R.telemetry(spark, path))
+    monkeypatch.setattr(S, "TASK_ROWS", 300)
+    assert S.compact(spark, path, DAY + timedelta(days=1)) == 1
+    after = R.telemetry(spark, path)
+    assert content(after) == before
+    sizes = [n for _, n in after.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 600
