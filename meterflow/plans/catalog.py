@@ -567,9 +567,11 @@ def stream_ingest_late(spark, sf_dir):
     messages = adapters.messages(spark, sf_dir)
     middle = messages.agg(F.percentile_approx(F.unix_micros("timestamp"), 0.5)).first()[0]
     late = F.unix_micros("timestamp") < middle
-    for part, files in ((~late, 3), (late, 3), (~late & (F.col("offset") % 3 == 0), 2)):
-        publish_files(messages.where(part).repartition(files, "offset"), source)
-        stream = topic.stream_topic_files(spark, source, files_per_trigger=1)
+    # The files of a batch, for all cores to decode.
+    each = spark.sparkContext.defaultParallelism
+    for part, batches in ((~late, 3), (late, 3), (~late & (F.col("offset") % 3 == 0), 2)):
+        publish_files(messages.where(part).repartition(batches * each, "offset"), source)
+        stream = topic.stream_topic_files(spark, source, files_per_trigger=each)
         ingest.start_ingest(stream, paths, AVAILABLE_NOW).awaitTermination()
     rows = tables.telemetry(spark, paths.table)
     return plain(rows.select(*telemetry_sink.COLUMNS)).withColumn(

@@ -30,6 +30,14 @@ def publish_stream(messages: DataFrame, options: dict[str, str], checkpoint: str
     )
 
 
+#: Bytes of a row group of the topic's files. A task reads whole row groups, and a batch may be a single file: its records are
+#: decoded by as many tasks as it has row groups.
+ROW_GROUP_BYTES = 4 << 20
+
+
 def publish_files(records: DataFrame, path: str) -> None:
-    """Topic records as zstd Parquet, readable by ``stream_topic_files``."""
-    records.write.mode("append").option("compression", "zstd").parquet(path)
+    """Topic records as zstd Parquet, readable by ``stream_topic_files``; a file of any size splits over many tasks."""
+    (
+        records.write.mode("append").option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES)
+        .parquet(path)
+    )
