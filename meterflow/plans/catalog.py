@@ -531,7 +531,7 @@ def _in_parts(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], Str
     if late:
         part = F.when(part < 2, 1 - part).otherwise(part) + (F.col("event_id") % 8 == 0).cast("int")
     for number in range(5 if late else 4):
-        events.where(part == number).write.mode("append").parquet(folder)
+        publish_files(events.where(part == number), folder)
         start(spark.readStream.schema(events.schema).parquet(folder)).awaitTermination()
 
 

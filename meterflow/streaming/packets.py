@@ -44,13 +44,13 @@ def _analyze(flows: str, state: str, alerts: str | None, port: int) -> Callable[
             if known is not None:
                 gapped = _first_gaps(gapped, packets, known)
             described = describe(gapped, "capture_id", "ts", "seq")
-            if alerts is None:
-                write_side_batch(described, flows, batch_id)
-            else:
-                described = described.persist()
-                write_side_batch(described, flows, batch_id)
+            written = write_side_batch(described, flows, batch_id)
+            if alerts is not None:
+                # From the records just written: if they were cached, their join would keep all of its shuffle partitions,
+                # and each would be a file of both tables.
+                if written:
+                    described = spark.read.schema(described.schema).parquet(f"{flows}/batch={batch_id}")
                 write_side_batch(network_alerts(described), alerts, batch_id)
-                described.unpersist()
             # A replay of this batch needs the state before it, and no older one.
             drop_batch(spark, state, batch_id - 2)
         finally:

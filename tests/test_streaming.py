@@ -191,6 +191,31 @@ def test_late_packet_does_not_turn_the_clock_back(spark, tmp_path):
     assert found == {0: (0.0, ""), 1: (-0.6, ""), 2: (5e-05, N.FLOOD)}
 
 
+def test_a_batch_of_packets_makes_few_files(spark, tmp_path):
+    source, flows, state, check, alerts = (str(tmp_path / n) for n in ("src", "flows", "state", "check", "alerts"))
+    schema = ", ".join(f"{f.name} {'bigint' if f.name == 'ts' else f.dataType.simpleString()}" for f in PACKET.fields)
+    rows = [(1 + i % 3, i * 50, i, True, False, True, "1.1.1.1", "2.2.2.2", None, None, 45322, 19092, 1000 + i, "S")
+            for i in range(900)]
+    packets = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_micros(F.col("ts") + START_US))
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for k in range(2):
+            packets.where(F.floor(F.col("seq") / 450) == k).coalesce(1).write.mode("append").parquet(source)
+            P.start_packet_analysis(
+                tables.stream_packet_records(spark, source), flows, state, check, alerts, trigger=NOW
+            ).awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for table, want in ((flows, N.analyze(packets)), (alerts, N.network_alerts(N.analyze(packets)))):
+        found = spark.read.parquet(table).drop("batch")
+        assert found.count() == want.count() > 0 and found.exceptAll(want).count() == 0
+        assert all(len(list((tmp_path / table).glob(f"batch={k}/part-*"))) < 10 for k in range(2))
+
+
 def test_late_partitions_land_and_the_ledger_adds_up(spark, tmp_path):
     source, paths = str(tmp_path / "topic"), ingest.Paths(str(tmp_path / "out"))
     ahead = records(spark, 0, 60).withColumn("timestamp", F.col("timestamp") + F.expr("interval 5 hours"))
